@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The test tables are single small files; deal their rows out before multiplying them."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def _text(value: Column) -> Column:
     return value.cast("string")
 
@@ -79,9 +84,11 @@ def loan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = F.trunc("o_orderdate", "month")
     paying = (i > 0) & ((k + i) % 5 != 0)
     late = (i > 0) & ((k + i) % 5 == 0)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
+    )
     return (
-        table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+        spread(orders, "o_orderkey")
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(6))))
         .select(
             F.concat(F.lit("L"), _text(k)).alias("loan_id"),
@@ -110,7 +117,7 @@ def _customer_months(spark: SparkSession, sf_dir: str, months: int, a: int, b: i
     day = F.add_months(F.lit("1995-01-01").cast("date"), month.cast("int"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     steps = F.explode(F.sequence(F.lit(0), F.lit(months - 1)))
-    return customers.withColumn("j", steps).withColumn("snapshot_date", _text(day))
+    return spread(customers, "c_custkey").withColumn("j", steps).withColumn("snapshot_date", _text(day))
 
 
 def financials_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,10 +198,9 @@ def clickstream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """87 monthly click snapshots for nine of ten customers, all text."""
     c, m = F.col("c_custkey"), F.col("m")
     day = F.add_months(F.lit("1995-01-01").cast("date"), m)
+    customers = table(spark, sf_dir, "customer").select("c_custkey").where(c % 10 != 9)
     return (
-        table(spark, sf_dir, "customer")
-        .select("c_custkey")
-        .where(c % 10 != 9)
+        spread(customers, "c_custkey")
         .withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(86))))
         .select(
             F.concat(F.lit("CUS_"), _text(c)).alias("Customer_ID"),

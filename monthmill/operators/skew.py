@@ -14,50 +14,65 @@ from pyspark.sql import functions as F
 
 SHARE = 1 / 1000
 FLOOR = 1_000_000
+ROWS = "_rows"
 PIECES = "_pieces"
 PIECE = "_piece"
 
 
-def hot_keys(
-    counts: DataFrame, keys: Sequence[str], rows: str = "n", share: float = SHARE, floor: int = FLOOR
-) -> DataFrame:
-    """(keys, pieces) of the keys with more than ``share`` of all rows and more than ``floor``."""
-    fair = F.greatest(F.lit(float(floor)), (counts.agg(F.sum(rows) * share)).scalar())
-    return counts.where(F.col(rows) > fair).select(
-        *keys, F.ceil(F.col(rows) / fair).cast("int").alias(PIECES)
-    )
-
-
-def _pieces() -> Column:
-    return F.coalesce(F.col(PIECES), F.lit(1))
+def count_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows per key, counted on the map side first; rows without a key are left out."""
+    return keyed(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(ROWS))
 
 
-def spread(left: DataFrame, hot: DataFrame, keys: Sequence[str], share: float = SHARE) -> DataFrame:
-    """Deal the left rows of a hot key out over its pieces, rows without a key over all of them."""
-    keyless = F.lit(False)
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with a complete key. Written as the filter that joins imply anyway, so that plans
+    with and without the join stay equal and share their shuffles."""
     for key in keys:
-        keyless = keyless | F.col(key).isNull()
-    turn = F.monotonically_increasing_id()
-    pieces = F.when(keyless, F.lit(int(1 / share))).otherwise(_pieces())
-    return (
-        left.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(PIECE, F.pmod(turn, pieces).cast("int"))
-        .drop(PIECES)
-    )
-
-
-def repeat(right: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One copy of the right rows per piece of their key."""
-    return (
-        right.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(PIECE, F.explode(F.sequence(F.lit(0), _pieces() - 1)))
-        .drop(PIECES)
-    )
-
-
-def count_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows per key, counted on the map side first; rows without a key are left out."""
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        df = df.where(F.col(key).isNotNull())
+    return df
+
+
+class Split:
+    """How often each key of a left table is split, from its row counts per key."""
+
+    def __init__(
+        self, counts: DataFrame, keys: Sequence[str], share: float = SHARE, floor: int = FLOOR
+    ) -> None:
+        self.keys = list(keys)
+        self.share = share
+        self.fair = F.greatest(F.lit(float(floor)), counts.agg(F.sum(ROWS) * share).scalar())
+        self.hot = counts.where(F.col(ROWS) > self.fair).select(
+            *keys, self.pieces(F.col(ROWS)).alias(PIECES)
+        )
+
+    def pieces(self, rows: Column) -> Column:
+        """Pieces of a key with that many rows."""
+        return F.when(rows > self.fair, F.ceil(rows / self.fair).cast("int")).otherwise(F.lit(1))
+
+    def spread(self, left: DataFrame) -> DataFrame:
+        """Deal the left rows of a hot key out over its pieces, rows without a key over many."""
+        keyless = F.lit(False)
+        for key in self.keys:
+            keyless = keyless | F.col(key).isNull()
+        known = F.coalesce(F.col(PIECES), F.lit(1))
+        pieces = F.when(keyless, F.lit(int(1 / self.share))).otherwise(known)
+        return (
+            left.join(F.broadcast(self.hot), self.keys, "left")
+            .withColumn(PIECE, F.pmod(F.monotonically_increasing_id(), pieces).cast("int"))
+            .drop(PIECES)
+        )
+
+    def repeat(self, right: DataFrame) -> DataFrame:
+        """One copy of the right rows per piece of their key."""
+        found = right.join(F.broadcast(self.hot), self.keys, "left")
+        return self.copies(found, F.coalesce(F.col(PIECES), F.lit(1))).drop(PIECES)
+
+    def copies(self, right: DataFrame, pieces: Column) -> DataFrame:
+        return right.withColumn(PIECE, F.explode(F.sequence(F.lit(0), pieces - 1)))
+
+    def join(self, spread: DataFrame, repeated: DataFrame) -> DataFrame:
+        """Left join on key and piece. Both sides grow with the data, so neither is broadcast."""
+        return spread.join(repeated.hint("merge"), [*self.keys, PIECE], "left")
 
 
 def left_joins(
@@ -71,8 +86,8 @@ def left_joins(
 
     All joins use (keys, piece), so the partitioning of the first serves the others.
     """
-    hot = hot_keys(count_keys(left, keys), keys, share=share, floor=floor)
-    joined = spread(left, hot, keys, share)
+    split = Split(count_keys(left, keys), keys, share, floor)
+    joined = split.spread(left)
     for right in rights:
-        joined = joined.join(repeat(right, hot, keys), [*keys, PIECE], "left")
+        joined = split.join(joined, split.repeat(right))
     return joined.drop(PIECE)

@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame
 from monthmill.sources.calendar import has_snapshot
 from monthmill.sources.readers import SNAPSHOT
 
+# blanks around a value are part of it
+CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def by_snapshot(df: DataFrame) -> DataFrame:
     """Few files per month: AQE merges small months and splits large ones at the advisory size."""
@@ -23,7 +26,7 @@ def write_layer(df: DataFrame, root: str, file_format: str = "parquet") -> None:
         .format(file_format)
     )
     if file_format == "csv":
-        writer = writer.option("header", True)
+        writer = writer.options(**CSV)
     writer.save(root)
 
 
@@ -34,4 +37,4 @@ def replace_layer(df: DataFrame, root: str) -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header, written by the executors."""
-    df.write.mode("overwrite").csv(path, header=True)
+    df.write.mode("overwrite").options(**CSV).csv(path)
