@@ -277,7 +277,7 @@ def pipeline_labels(spark, sf_dir):
 
 @register
 def pipeline_features(spark, sf_dir):
-    """All four files through all layers; the stored features before 2000 are read back."""
+    """All four files through all layers; the stored features are read back."""
     folder = new_folder(spark, "mart")
     _, features = medallion.run_pipeline(
         spark, _sources(spark, sf_dir), folder, None, None,

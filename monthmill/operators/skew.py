@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from monthmill.staging import settled
+
 SHARE = 1 / 1000
 FLOOR = 1_000_000
 ROWS = "_rows"
@@ -33,13 +35,19 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class Split:
-    """How often each key of a left table is split, from its row counts per key."""
+    """How often each key of a left table is split, from its row counts per key.
+
+    Pieces go by row position, which also deals out exact copies of a row. The left table is
+    therefore settled first: a repeated task must find its rows in the same order.
+    """
 
     def __init__(
-        self, counts: DataFrame, keys: Sequence[str], share: float = SHARE, floor: int = FLOOR
+        self, left: DataFrame, keys: Sequence[str], share: float = SHARE, floor: int = FLOOR
     ) -> None:
+        self.left = settled(left)
         self.keys = list(keys)
         self.share = share
+        self.counts = counts = count_keys(self.left, keys)
         self.fair = F.greatest(F.lit(float(floor)), counts.agg(F.sum(ROWS) * share).scalar())
         self.hot = counts.where(F.col(ROWS) > self.fair).select(
             *keys, self.pieces(F.col(ROWS)).alias(PIECES)
@@ -49,7 +57,7 @@ class Split:
         """Pieces of a key with that many rows."""
         return F.when(rows > self.fair, F.ceil(rows / self.fair).cast("int")).otherwise(F.lit(1))
 
-    def spread(self, left: DataFrame) -> DataFrame:
+    def spread(self) -> DataFrame:
         """Deal the left rows of a hot key out over its pieces, rows without a key over many."""
         keyless = F.lit(False)
         for key in self.keys:
@@ -57,7 +65,7 @@ class Split:
         known = F.coalesce(F.col(PIECES), F.lit(1))
         pieces = F.when(keyless, F.lit(int(1 / self.share))).otherwise(known)
         return (
-            left.join(F.broadcast(self.hot), self.keys, "left")
+            self.left.join(F.broadcast(self.hot), self.keys, "left")
             .withColumn(PIECE, F.pmod(F.monotonically_increasing_id(), pieces).cast("int"))
             .drop(PIECES)
         )
@@ -86,8 +94,8 @@ def left_joins(
 
     All joins use (keys, piece), so the partitioning of the first serves the others.
     """
-    split = Split(count_keys(left, keys), keys, share, floor)
-    joined = split.spread(left)
+    split = Split(left, keys, share, floor)
+    joined = split.spread()
     for right in rights:
         joined = split.join(joined, split.repeat(right))
     return joined.drop(PIECE)

@@ -11,6 +11,9 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # bigger scan splits than the 128 MB default: fewer, longer tasks on very large inputs
     "spark.sql.files.maxPartitionBytes": "256m",
+    # the JVM does not compile methods beyond 8000 bytes; for very wide projections several
+    # small generated methods are much faster than one that stays interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

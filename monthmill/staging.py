@@ -6,6 +6,7 @@ lost executor costs a re-read instead of a recomputation.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange\b")
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -43,6 +45,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def settled(df: DataFrame, label: str = "settled") -> DataFrame:
+    """A table whose rows come in the same order each time they are computed.
+
+    A scan with row-wise steps has that property. Behind a shuffle the order can change when
+    lost work is repeated, so such a table is staged first.
+    """
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return stage(df, label) if _SHUFFLE.search(plan) else df
+
+
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
     """Remove, on leaving, the tables staged inside the block (use them before that)."""
