@@ -10,7 +10,6 @@ import re
 
 from monthmill import fixed_values as fixed
 from monthmill.catalog.views import LABELLED_UNTIL, OBSERVED_UNTIL
-from monthmill.operators.quantiles import ACCURACY  # noqa: F401  (documents the exact counterpart)
 
 CLICKS = [f"fe_{i}" for i in range(1, 21)]
 
@@ -592,9 +591,6 @@ select (select count(*) from products) as products,
     "noisy_numbers": "select customer_id, credit_limit_gbp, years_in_business from metadata",
     "customer_metadata": "select * from metadata",
     "size_distribution": "select company_size, count(*) as row_count from metadata group by company_size",
-    "credit_limit_by_size": _summary(
-        "metadata", ("credit_limit_gbp",), 0
-    ),
     "vip_share": """select cast(sum(is_vip) as bigint) as vip_customers,
        round_even(avg(is_vip) * 100, 1) as vip_pct from metadata""",
 }

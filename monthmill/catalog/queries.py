@@ -15,7 +15,7 @@ from monthmill.operators import asof, encode, impute, profile
 from monthmill.plans import churn, customer_meta, feature_store, labels, medallion, retail, rfm, silver
 from monthmill.sinks import writers
 from monthmill.sources import calendar, readers
-from monthmill.staging import new_folder
+from monthmill.staging import new_folder, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -244,7 +244,7 @@ def median_impute(spark, sf_dir):
 def lineitem_medians(spark, sf_dir):
     items = views.table(spark, sf_dir, "lineitem")
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber"]
-    found = impute.column_medians(items, names, exact=True, staged=True)
+    found = impute.column_medians(items, names, exact=True)
     return spark.createDataFrame(list(found.items()), "column_name string, median double")
 
 
@@ -508,7 +508,7 @@ def basket_statistics(spark, sf_dir):
 def histogram_basket(spark, sf_dir):
     """Basket revenue, capped at its 99th percentile."""
     revenue = F.col("Revenue")
-    table = retail.baskets(_sales(spark, sf_dir, "StockCode"))
+    table = stage(retail.baskets(_sales(spark, sf_dir, "StockCode")), "baskets")
     bound = profile.exact_quantiles(table, {"r": revenue}, [0.99])["r"][0]
     return profile.histogram(table, cleaning.cap(revenue, bound), 50)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from monthmill.functions.retail import percent
 from monthmill.operators.quantiles import exact_quantiles
-from monthmill.staging import stage
+from monthmill.staging import settled
 
 MAX_GROUPS = 1000
 
@@ -68,12 +68,12 @@ def _moments(value: Column, places: int) -> Column:
 
 
 def numeric_summary(
-    df: DataFrame, columns: Mapping[str, Column], places: int = 2, staged: bool = False
+    df: DataFrame, columns: Mapping[str, Column], places: int = 2
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum, one row per column."""
-    base = df if staged else stage(df.select(*[v.alias(n) for n, v in columns.items()]), "summary")
-    values = columns if staged else {name: F.col(f"`{name}`") for name in columns}
-    quartiles = exact_quantiles(base, values, [0.25, 0.5, 0.75], staged=True)
+    base = settled(df.select(*[v.alias(n) for n, v in columns.items()]), "summary")
+    values = {name: F.col(f"`{name}`") for name in columns}
+    quartiles = exact_quantiles(base, values, [0.25, 0.5, 0.75])
     rows = base.agg(
         F.array(
             *[
@@ -96,7 +96,7 @@ def numeric_summary(
 
 def grouped_summary(df: DataFrame, group: str, value: str, places: int = 0) -> DataFrame:
     """The same summary of one column for each value of a category column (at most 1000)."""
-    base = stage(df.select(group, value), "summary").dropna(subset=[group])
+    base = settled(df.select(group, value), "summary").dropna(subset=[group])
     groups = [r[0] for r in base.select(group).distinct().limit(MAX_GROUPS + 1).collect()]
     if len(groups) > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
@@ -121,7 +121,8 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     Bins are closed on the left, the last one on both sides. Without any spread the range is
     half a unit to both sides.
     """
-    values = df.select(value.cast("double").alias("v")).where("v is not null and not isnan(v)")
+    values = settled(df.select(value.cast("double").alias("v")), "histogram")
+    values = values.where("v is not null and not isnan(v)")
     ends = values.agg(F.struct(F.min("v").alias("low"), F.max("v").alias("high"))).scalar()
     flat = ends.getField("low") == ends.getField("high")
     low = F.when(flat, ends.getField("low") - 0.5).otherwise(ends.getField("low"))
@@ -133,7 +134,7 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
 
     # the division can land one bin off next to an edge, so compare with the edges themselves
     guess = F.least(F.floor((F.col("v") - F.col("low")) / step), F.lit(bins - 1))
-    settled = (
+    index_of = (
         F.when(F.col("v") < edge(F.col("guess")), F.col("guess") - 1)
         .when((F.col("v") >= edge(F.col("guess") + 1)) & (F.col("guess") < bins - 1), F.col("guess") + 1)
         .otherwise(F.col("guess"))
@@ -141,7 +142,7 @@ def histogram(df: DataFrame, value: Column, bins: int) -> DataFrame:
     counted = (
         values.withColumns({"low": low, "high": high})
         .withColumn("guess", guess)
-        .groupBy(settled.cast("bigint").alias("bin"))
+        .groupBy(index_of.cast("bigint").alias("bin"))
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
     index = F.col("bin")

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.staging import stage
+from monthmill.staging import is_scan, settled
 
 ACCURACY = 10_000
 GRID = 64
@@ -135,19 +135,17 @@ def exact_quantiles(
     columns: Mapping[str, Column],
     probabilities: Sequence[float],
     method: str = "linear",
-    staged: bool = False,
 ) -> dict[str, list[float | None]]:
     """Quantiles of each column, nulls and NaN ignored; None for a column without values.
 
     ``linear`` interpolates between neighbours, ``lower`` takes the value at rank
-    ``ceil(p * n)``. Values are compared as doubles. The named columns are staged first
-    unless ``staged`` says that ``df`` is cheap to scan again.
+    ``ceil(p * n)``. Values are compared as doubles. A derived table is staged first, with
+    the named columns only; a scan is read again in each pass.
     """
     short = {name: f"v{n}" for n, name in enumerate(columns)}
     numbers = {short[name]: value.cast("double") for name, value in columns.items()}
-    values = df.select(*[F.when(~F.isnan(v), v).alias(name) for name, v in numbers.items()])
-    if not staged:
-        values = stage(values, "quantiles")
+    named = [F.when(~F.isnan(v), v).alias(name) for name, v in numbers.items()]
+    values = settled(df.select(*named), "quantiles")
 
     ends = sorted({e for p in probabilities for e in _around(p) if 0 < e < 1})
     whole = {name: _Interval(name, None, None, 2**62) for name in numbers}
@@ -191,18 +189,17 @@ def approximate_quantiles(
     columns: Mapping[str, Column],
     probabilities: Sequence[float],
     error: float = 0.001,
-    staged: bool = False,
 ) -> dict[str, list[float | None]]:
     """Quantiles with a bounded rank error, one sketch per column.
 
-    All columns share one aggregate unless ``staged`` says that ``df`` is cheap to scan again.
+    All columns of a derived table share one aggregate, so that it is computed once.
     """
     accuracy, points = math.ceil(1 / error), F.lit(np.array(probabilities, dtype=float))
     numbers = {f"v{n}": value.cast("double") for n, value in enumerate(columns.values())}
     sketches = {
         name: F.percentile_approx(F.when(~F.isnan(v), v), points, accuracy) for name, v in numbers.items()
     }
-    if staged:
+    if is_scan(df):
         row = _measure(df, sketches)
     else:
         row = df.agg(*[s.alias(name) for name, s in sketches.items()]).first().asDict()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from monthmill import fixed_values as fixed
 from monthmill.functions import hashing, scoring
 from monthmill.operators.quantiles import exact_quantiles
-from monthmill.staging import stage
+from monthmill.staging import settled
 
 COLUMNS = (
     "CustomerID",
@@ -37,10 +37,11 @@ def customer_stats(sales: DataFrame) -> DataFrame:
     )
 
 
-def add_tiers(stats: DataFrame, staged: bool = False) -> DataFrame:
+def add_tiers(stats: DataFrame) -> DataFrame:
     """Company size by revenue percentile (from the 60th Medium, from the 90th Large) and VIP flag."""
+    stats = settled(stats, "customers")
     revenue = F.col("total_revenue").cast("double")
-    medium, large = exact_quantiles(stats, {"r": revenue}, [0.6, 0.9], staged=staged)["r"]
+    medium, large = exact_quantiles(stats, {"r": revenue}, [0.6, 0.9])["r"]
     return stats.withColumns(
         {
             "company_size": scoring.company_size(revenue, F.lit(medium), F.lit(large)),
@@ -86,8 +87,7 @@ def add_generated(tiers: DataFrame, seed: int = 42) -> DataFrame:
 
 def customer_metadata(sales: DataFrame, seed: int = 42) -> DataFrame:
     """The full metadata table, one row per customer."""
-    stats = stage(customer_stats(sales), "customers")
-    whole = add_generated(add_placement(add_tiers(stats, staged=True)), seed)
+    whole = add_generated(add_placement(add_tiers(customer_stats(sales))), seed)
     return whole.select(*COLUMNS).withColumnRenamed("CustomerID", "customer_id")
 
 

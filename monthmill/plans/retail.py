@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from monthmill import fixed_values as fixed
 from monthmill.functions import retail as expr
 from monthmill.operators.ordering import running_totals
 from monthmill.operators.profile import numeric_summary
+from monthmill.staging import settled
 
 
 def _money(name: str) -> Column:
@@ -50,18 +51,32 @@ def anomaly_counts(
     )
 
 
-def _totals() -> list[Column]:
-    return [
+def _totals_by(sales: DataFrame, group: Column, name: str) -> DataFrame:
+    """Revenue, orders and customers per group.
+
+    Lines are first summed per invoice: two distinct counts triple their input, which should
+    not happen to every line.
+    """
+    invoices = sales.groupBy(group.alias(name), "InvoiceNo", "CustomerID").agg(
+        F.sum("Revenue").alias("Revenue")
+    )
+    return invoices.groupBy(name).agg(
         F.sum("Revenue").alias("Revenue"),
         F.count_distinct("InvoiceNo").alias("Orders"),
         F.count_distinct("CustomerID").alias("Customers"),
-    ]
+    )
+
+
+def _share_of_all(name: str, places: int) -> Column:
+    """Percentage of the total over all rows; for tables of a few rows, such as countries."""
+    whole = F.sum(name).over(Window.partitionBy())
+    return F.bround(expr.percent(F.col(name), whole), places)
 
 
 def monthly_revenue(sales: DataFrame) -> DataFrame:
     """Revenue, orders and customers per month."""
-    month = expr.year_month(F.col("InvoiceDate")).alias("YearMonth")
-    return sales.groupBy(month).agg(*_totals()).withColumn("Revenue", _money("Revenue"))
+    months = _totals_by(sales, expr.year_month(F.col("InvoiceDate")), "YearMonth")
+    return months.withColumn("Revenue", _money("Revenue"))
 
 
 def peak_month(sales: DataFrame) -> DataFrame:
@@ -92,14 +107,13 @@ def orders_by_weekday(sales: DataFrame) -> DataFrame:
 
 def country_revenue(sales: DataFrame, top: int | None = None) -> DataFrame:
     """Revenue, orders and customers per country and the share of all revenue, best first."""
-    countries = sales.groupBy("Country").agg(*_totals()).where("Country is not null")
-    whole = sales.where("Country is not null").agg(F.sum("Revenue")).scalar()
+    countries = _totals_by(sales.dropna(subset=["Country"]), F.col("Country"), "Country")
     report = countries.select(
         "Country",
         "Orders",
         "Customers",
-        F.col("Revenue").cast("double").alias("Revenue"),
-        F.bround(expr.percent(F.col("Revenue"), whole), 2).alias("Revenue_pct"),
+        _money("Revenue"),
+        _share_of_all("Revenue", 2).alias("Revenue_pct"),
     ).orderBy(F.desc("Revenue"), "Country")
     return report if top is None else report.limit(top)
 
@@ -107,14 +121,11 @@ def country_revenue(sales: DataFrame, top: int | None = None) -> DataFrame:
 def home_vs_abroad(sales: DataFrame, home: str = fixed.HOME_COUNTRY) -> DataFrame:
     """Revenue of the home country against all others, with shares."""
     side = F.when(F.col("Country") == home, F.lit(home)).otherwise(F.lit("International"))
-    sides = sales.where("Country is not null").groupBy(side.alias("Market")).agg(
+    sides = sales.dropna(subset=["Country"]).groupBy(side.alias("Market")).agg(
         F.sum("Revenue").alias("Revenue")
     )
-    whole = sales.where("Country is not null").agg(F.sum("Revenue")).scalar()
     return sides.select(
-        "Market",
-        _money("Revenue"),
-        F.bround(expr.percent(F.col("Revenue"), whole), 1).alias("Revenue_pct"),
+        "Market", _money("Revenue"), _share_of_all("Revenue", 1).alias("Revenue_pct")
     )
 
 
@@ -217,7 +228,7 @@ def _product_totals(sales: DataFrame) -> DataFrame:
 
 def top_products_share(sales: DataFrame, top: int = 100) -> DataFrame:
     """Number of products and the share of revenue of the best ``top``."""
-    products = _product_totals(sales)
+    products = settled(_product_totals(sales), "products")
     whole = products.agg(F.struct(F.sum("Revenue").alias("r"), F.count(F.lit(1)).alias("n"))).scalar()
     best = _best_products(products, top).agg(F.sum("Revenue").alias("best"))
     return best.select(

@@ -13,22 +13,26 @@ from monthmill.staging import stage
 
 
 def rfm_base(sales: DataFrame) -> DataFrame:
-    """Whole days since the last order (seen one day after the last sale of all), orders, revenue."""
+    """Whole days since the last order (seen one day after the last sale of all), orders, revenue.
+
+    The sales are read once: the table per customer is staged and gives the last sale too.
+    """
     customers = sales.groupBy("CustomerID").agg(
         F.max("InvoiceDate").alias("last_order"),
         F.count_distinct("InvoiceNo").alias("Frequency"),
         F.sum("Revenue").alias("Monetary"),
     )
-    seen = sales.agg(F.max("InvoiceDate")).scalar() + F.expr("interval 1 day")
+    customers = stage(customers, "rfm")
+    seen = customers.agg(F.max("last_order")).scalar() + F.expr("interval 1 day")
     return customers.select(
         "CustomerID", elapsed_days(F.col("last_order"), seen).alias("Recency"), "Frequency", "Monetary"
     )
 
 
-def quintile_edges(df: DataFrame, column: str, staged: bool = False) -> list[float]:
+def quintile_edges(df: DataFrame, column: str) -> list[float]:
     """The four inner quintile edges; edges that coincide are an error, as no bin lies between them."""
     points = [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]
-    edges = exact_quantiles(df, {column: F.col(column)}, points, staged=staged)[column]
+    edges = exact_quantiles(df, {column: F.col(column)}, points)[column]
     if None in edges or len(set(edges)) < len(edges):
         raise ValueError(f"the quintile edges of {column} are not distinct: {edges}")
     return edges[1:-1]
@@ -40,8 +44,8 @@ def rfm_scores(sales: DataFrame) -> DataFrame:
     Recency is cut by value, so equal recencies score alike; frequency and monetary value are
     cut by position, ties in order of the customer number.
     """
-    base = stage(rfm_base(sales), "rfm")
-    edges = quintile_edges(base, "Recency", staged=True)
+    base = rfm_base(sales)
+    edges = quintile_edges(base, "Recency")
     by_frequency = global_rank(base, [F.col("Frequency"), F.col("CustomerID")], "_f", total="_rows")
     ranked = global_rank(by_frequency, [F.col("Monetary"), F.col("CustomerID")], "_m")
     rows = F.col("_rows")

@@ -45,14 +45,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def settled(df: DataFrame, label: str = "settled") -> DataFrame:
-    """A table whose rows come in the same order each time they are computed.
+def is_scan(df: DataFrame) -> bool:
+    """Whether a table is read and computed row by row, without any shuffle.
 
-    A scan with row-wise steps has that property. Behind a shuffle the order can change when
-    lost work is repeated, so such a table is staged first.
+    Such a table costs no more than its scan each time it is used, and its rows come in the
+    same order each time, also when lost work is repeated.
     """
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return stage(df, label) if _SHUFFLE.search(plan) else df
+    return not _SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString())
+
+
+def settled(df: DataFrame, label: str = "settled") -> DataFrame:
+    """``df`` itself if it is a scan, else a staged copy. For tables that are used repeatedly."""
+    return df if is_scan(df) else stage(df, label)
 
 
 @contextmanager
