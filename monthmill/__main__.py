@@ -1,4 +1,4 @@
-"""Command line: ``python -m monthmill credit|metadata --data ... --out ...``."""
+"""Command line: ``python -m monthmill credit|metadata|reports --data ... --out ...``."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import argparse
 
 from monthmill.plans.customer_meta import customer_metadata
 from monthmill.plans.medallion import run_pipeline
+from monthmill.plans.reports import write_reports
 from monthmill.plans.retail import clean_sales
 from monthmill.session import build_session
 from monthmill.sinks.writers import write_csv
@@ -24,9 +25,13 @@ def main() -> None:
     credit.add_argument("--dpd", type=int, default=30)
     credit.add_argument("--mob", type=int, default=6)
     credit.add_argument("--mode", choices=["asof", "exact"], default="asof")
-    metadata = jobs.add_parser("metadata", help="transaction file to customer metadata")
-    metadata.add_argument("--data", required=True)
-    metadata.add_argument("--out", required=True)
+    for name, text in (
+        ("metadata", "transaction file to customer metadata"),
+        ("reports", "transaction file to all retail reports"),
+    ):
+        job = jobs.add_parser(name, help=text)
+        job.add_argument("--data", required=True)
+        job.add_argument("--out", required=True)
     args = parser.parse_args()
 
     spark = build_session()
@@ -34,6 +39,8 @@ def main() -> None:
         run_pipeline(
             spark, args.data, args.out, args.start, args.end, args.dpd, args.mob, mode=args.mode
         )
+    elif args.job == "reports":
+        write_reports(read_transactions(spark, args.data), args.out)
     else:
         with staging_scope(spark):
             sales = clean_sales(read_transactions(spark, args.data))

@@ -572,12 +572,20 @@ select (select count(*) from products) as products,
     "histogram_basket": _histogram(
         "least(Revenue, (select quantile_cont(Revenue, 0.99) from baskets))", "baskets", 50
     ),
+    "histogram_basket_items": _histogram(
+        "least(Items, (select quantile_cont(Items::double, 0.99) from baskets))", "baskets", 50
+    ),
+    "histogram_basket_skus": _histogram(
+        "least(SKUs, (select quantile_cont(SKUs::double, 0.99) from baskets))", "baskets", 50
+    ),
     "rfm_base": "select * from rfm",
     "rfm_scores": "select * from scores",
     "rfm_segments": """select Segment, count(*) as Count, round_even(avg(Recency), 1) as Avg_Recency,
        round_even(avg(Frequency), 1) as Avg_Frequency, round_even(avg(Monetary), 1) as Avg_Monetary
        from scores group by Segment""",
     "histogram_recency": _histogram("Recency", "rfm", 50),
+    "histogram_frequency": _histogram("least(Frequency, 30)", "rfm", 30),
+    "histogram_monetary": _histogram("least(Monetary, 10000)", "rfm", 50),
     "churn_label": "select * from churned",
     "churn_rate": """select count(*) as customers, cast(sum(Churned) as bigint) as churned,
        round_even(sum(Churned)::double / count(*)::double * 100, 1) as churned_pct,
@@ -590,6 +598,9 @@ select (select count(*) from products) as products,
     "weighted_assignment": "select customer_id, vertical, onboard_channel, payment_terms_days from metadata",
     "noisy_numbers": "select customer_id, credit_limit_gbp, years_in_business from metadata",
     "customer_metadata": "select * from metadata",
+    "metadata_preview": "select * from metadata order by customer_id limit 5",
+    "vertical_distribution": "select vertical, count(*) as row_count from metadata group by vertical",
+    "region_distribution": "select region, count(*) as row_count from metadata group by region",
     "size_distribution": "select company_size, count(*) as row_count from metadata group by company_size",
     "vip_share": """select cast(sum(is_vip) as bigint) as vip_customers,
        round_even(avg(is_vip) * 100, 1) as vip_pct from metadata""",

@@ -504,13 +504,26 @@ def basket_statistics(spark, sf_dir):
     return retail.basket_statistics(_sales(spark, sf_dir, "StockCode"))
 
 
+def _basket_histogram(spark: SparkSession, sf_dir: str, measure: str) -> DataFrame:
+    """A basket measure, capped at its 99th percentile."""
+    table = stage(retail.baskets(_sales(spark, sf_dir, "StockCode")).select(measure), "baskets")
+    bound = profile.exact_quantiles(table, {measure: F.col(measure)}, [0.99])[measure][0]
+    return profile.histogram(table, cleaning.cap(F.col(measure).cast("double"), bound), 50)
+
+
 @register
 def histogram_basket(spark, sf_dir):
-    """Basket revenue, capped at its 99th percentile."""
-    revenue = F.col("Revenue")
-    table = stage(retail.baskets(_sales(spark, sf_dir, "StockCode")), "baskets")
-    bound = profile.exact_quantiles(table, {"r": revenue}, [0.99])["r"][0]
-    return profile.histogram(table, cleaning.cap(revenue, bound), 50)
+    return _basket_histogram(spark, sf_dir, "Revenue")
+
+
+@register
+def histogram_basket_items(spark, sf_dir):
+    return _basket_histogram(spark, sf_dir, "Items")
+
+
+@register
+def histogram_basket_skus(spark, sf_dir):
+    return _basket_histogram(spark, sf_dir, "SKUs")
 
 
 # --- segments, churn, metadata -------------------------------------------------------
@@ -537,6 +550,20 @@ def histogram_recency(spark, sf_dir):
     return profile.histogram(rfm.rfm_base(_sales(spark, sf_dir, "InvoiceDate")), F.col("Recency"), 50)
 
 
+@register
+def histogram_frequency(spark, sf_dir):
+    """Orders of the RFM table, capped at 30."""
+    base = rfm.rfm_base(_sales(spark, sf_dir, "InvoiceDate"))
+    return profile.histogram(base, cleaning.cap(F.col("Frequency"), 30), 30)
+
+
+@register
+def histogram_monetary(spark, sf_dir):
+    """Revenue of the RFM table, capped."""
+    base = rfm.rfm_base(_sales(spark, sf_dir, "InvoiceDate"))
+    return profile.histogram(base, cleaning.cap(F.col("Monetary").cast("double"), 10000.0), 50)
+
+
 def _churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = _sales(spark, sf_dir, "InvoiceDate")
     return churn.churn_labels(sales, views.OBSERVED_UNTIL, views.LABELLED_UNTIL)
@@ -600,6 +627,22 @@ def customer_metadata(spark, sf_dir):
     return _metadata(spark, sf_dir)
 
 
+@register
+def metadata_preview(spark, sf_dir):
+    """The first five customers."""
+    return _metadata(spark, sf_dir).orderBy("customer_id").limit(5)
+
+
+@register
+def vertical_distribution(spark, sf_dir):
+    return profile.frequency_table(_metadata(spark, sf_dir), "vertical")
+
+
+@register
+def region_distribution(spark, sf_dir):
+    return profile.frequency_table(_metadata(spark, sf_dir), "region")
+
+
 @register
 def size_distribution(spark, sf_dir):
     return profile.frequency_table(_metadata(spark, sf_dir), "company_size")

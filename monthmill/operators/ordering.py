@@ -29,11 +29,12 @@ def running_totals(
     ``running`` maps a new column to what is summed; ``totals`` maps a new column to the
     running column whose grand total it carries.
     """
-    count = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # without a given number AQE merges neighbouring ranges that are small, which keeps the order
+    ranges = [buckets, *order] if buckets else order
     parts = {name: f"_part_{name}" for name in running}
     ranged = (
         df.withColumns({parts[name]: value for name, value in running.items()})
-        .repartitionByRange(count, *order)
+        .repartitionByRange(*ranges)
         .withColumn(BUCKET, F.spark_partition_id())
     )
     fixed = stage(ranged, "ranged")

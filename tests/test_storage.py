@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 from monthmill import api
 from monthmill.catalog import views
 from monthmill.plans import medallion, retail
+from monthmill.plans.reports import DERIVED, POSITIVE, RAW, SALES, write_reports
 from monthmill.sinks import writers
 from monthmill.sources import calendar, readers
 from monthmill.staging import stage, staging_scope
 
-RAW = "Customer_ID string, snapshot_date string, Name string, Age string, SSN string, Occupation string"
+ATTRIBUTES = "Customer_ID string, snapshot_date string, Name string, Age string, SSN string, Occupation string"
 
 
 @pytest.fixture
@@ -18,7 +19,7 @@ def attributes_csv(frame, tmp_path):
     path = str(tmp_path / "attributes.csv")
     rows = [(f"c{n}", f"2023-0{m}-01", "x", f"{20 + n}_", None, " ") for n in range(5) for m in (1, 2, 3)]
     rows += [("late", "", "x", "1", None, None), ("none", None, "x", "1", None, None)]
-    writers.write_csv(frame(RAW, *rows), path)
+    writers.write_csv(frame(ATTRIBUTES, *rows), path)
     return path
 
 
@@ -139,6 +140,14 @@ def test_staged_tables_are_removed_with_their_scope(spark):
         spark.read.parquet(path)
 
 
+def test_all_reports_are_written(spark, tmp_path):
+    write_reports(views.retail_tx(spark, "/root/testdata/sf0.001"), str(tmp_path))
+    names = {p.name for p in tmp_path.iterdir()}
+    assert {*RAW, *POSITIVE, *SALES, *DERIVED, "basket_items_histogram"} <= names
+    for name in names:
+        assert spark.read.parquet(str(tmp_path / name)).count() > 0
+
+
 def test_metadata_is_written_with_a_header(spark, frame, tmp_path):
     sales = retail.clean_sales(views.retail_tx(spark, "/root/testdata/sf0.001"))
     from monthmill.plans.customer_meta import customer_metadata
