@@ -215,8 +215,14 @@ def _best_products(products: DataFrame, top: int) -> DataFrame:
 
 
 def top_products(sales: DataFrame, top: int = 15) -> DataFrame:
-    """The products with the highest revenue."""
-    return _best_products(product_revenue(sales), top).withColumn("Revenue", _money("Revenue"))
+    """The products with the highest revenue.
+
+    They are found by revenue alone; only their lines go through the distinct counts.
+    """
+    best = _best_products(_product_totals(sales), top).select("StockCode", "Description")
+    lines = sales.join(F.broadcast(best), ["StockCode", "Description"], "left_semi")
+    products = product_revenue(lines).orderBy(F.desc("Revenue"), "StockCode", "Description")
+    return products.withColumn("Revenue", _money("Revenue"))
 
 
 def _product_totals(sales: DataFrame) -> DataFrame:

@@ -69,8 +69,10 @@ def read_transactions(
     raw = read_typed_csv(spark, path, schemas.TRANSACTION_TYPES, encoding="ISO-8859-1")
     moment = F.col("InvoiceDate")
     if timestamp_format:
-        # the pattern goes through the session zone and back, so the wall clock is unchanged
-        parsed = F.try_to_timestamp(moment, F.lit(timestamp_format)).cast("timestamp_ntz")
+        # wall clock time, whatever the session zone; the first test keeps bad text from raising
+        pattern = F.lit(timestamp_format)
+        readable = F.try_to_timestamp(moment, pattern).isNotNull()
+        parsed = F.when(readable, F.to_timestamp_ntz(moment, pattern))
     else:
         parsed = moment.try_cast("timestamp_ntz")
     return raw.withColumn("InvoiceDate", parsed)

@@ -118,6 +118,17 @@ def test_latin1_transactions(spark, tmp_path):
     assert (second.InvoiceDate, second.CustomerID, second.Quantity) == (None, None, -6)
 
 
+def test_times_do_not_depend_on_the_session_zone(spark, tmp_path):
+    path = tmp_path / "data.csv"
+    path.write_text("InvoiceDate,Quantity,UnitPrice,CustomerID\n3/13/2011 2:30,1,1,1\nbad,1,1,1\n")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # no such time there
+    try:
+        rows = readers.read_transactions(spark, str(path)).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.InvoiceDate for r in rows] == [datetime(2011, 3, 13, 2, 30), None]
+
+
 def test_index_returns(spark, tmp_path):
     path = tmp_path / "index.csv"
     path.write_text("Date,EWU,^FTAS,^FTMC,^FTSE\n2011-01-04,0.5,0.25,,-0.125\n")
