@@ -18,8 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """The test tables are single small files; deal their rows out before multiplying them."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    """Deal out the rows of a table whose file cannot be read by all cores at once.
+
+    The test tables are single small files; tables with enough splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
 def _text(value: Column) -> Column:
@@ -42,7 +46,7 @@ def retail_tx(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus", "o_orderdate"
     )
-    rows = lines.join(orders, "l_orderkey")
+    rows = spread(lines, "l_orderkey").join(orders, "l_orderkey")
     if "Country" in wanted:
         customers = table(spark, sf_dir, "customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey")

@@ -49,33 +49,39 @@ class _Interval:
     def small(self) -> bool:
         return self.bound <= GATHER
 
-    def inside(self) -> Column:
-        value = F.col(self.column)
-        test = value.isNotNull()
+    def inside(self) -> str:
+        tests = [f"{self.column} is not null"]
         if self.low is not None:
-            test = test & (value > self.low)
+            tests.append(f"{self.column} > {_number(self.low)}")
         if self.high is not None:
-            test = test & (value < self.high)
-        return F.when(test, value)
+            tests.append(f"{self.column} < {_number(self.high)}")
+        return f"case when {' and '.join(tests)} then {self.column} end"
 
-    def counts(self) -> list[Column]:
+    def counts(self) -> list[str]:
         """Number of values below, at low, inside and at high."""
-        value = F.col(self.column)
-        below = F.lit(False) if self.low is None else value < self.low
-        at_low = F.lit(False) if self.low is None else value == self.low
-        at_high = F.lit(False) if self.high is None else value == self.high
-        return [F.count_if(below), F.count_if(at_low), F.count(self.inside()), F.count_if(at_high)]
+        value = self.column
+        below = at_low = at_high = "0L"
+        if self.low is not None:
+            below = f"count_if({value} < {_number(self.low)})"
+            at_low = f"count_if({value} = {_number(self.low)})"
+        if self.high is not None:
+            at_high = f"count_if({value} = {_number(self.high)})"
+        return [below, at_low, f"count({self.inside()})", at_high]
 
     def sketch(self, points: Sequence[float]) -> Column:
         # one array literal: a literal per point is slow to analyse
-        return F.percentile_approx(self.inside(), F.lit(np.array(points)), ACCURACY)
+        return F.percentile_approx(F.expr(self.inside()), F.lit(np.array(points)), ACCURACY)
 
-    def pick(self, rank: int) -> Column:
+    def pick(self, rank: int) -> str:
         """The value of a 0-based rank of the whole column, if it lies inside."""
         below, at_low, count, _ = self.counts()
-        place = rank - below - at_low + 1
-        values = F.sort_array(F.collect_list(self.inside()))
-        return F.when((place >= 1) & (place <= count), F.element_at(values, place.cast("int")))
+        place = f"({rank + 1}L - {below} - {at_low})"
+        value = f"element_at(sort_array(collect_list({self.inside()})), cast({place} as int))"
+        return f"case when {place} between 1 and {count} then {value} end"
+
+
+def _number(value: float) -> str:
+    return f"double('{value!r}')"
 
 
 def _first_bracket(column: str, count: int, p: float, ends: Mapping[float, float]) -> _Interval:
@@ -99,9 +105,11 @@ def _look(df: DataFrame, targets: Mapping[tuple[str, int], _Interval]) -> tuple[
     grid = np.linspace(0, 1, GRID + 1)
     measures = {}
     for n, (interval, ranks) in enumerate(groups.items()):
-        picks = [interval.pick(rank) for rank in ranks]
-        inner = F.array(*picks) if interval.small else interval.sketch(grid)
-        counts = F.array(*interval.counts())
+        counts = F.expr(f"array({', '.join(interval.counts())})")
+        if interval.small:
+            inner = F.expr(f"array({', '.join(interval.pick(rank) for rank in ranks)})")
+        else:
+            inner = interval.sketch(grid)
         measures[f"i{n}"] = F.struct(counts.alias("counts"), inner.alias("inner"))
     row = _measure(df, measures)
 
