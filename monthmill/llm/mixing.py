@@ -9,8 +9,9 @@ Copies: inside a source a document of length class k is wanted ``c * weight_k``
 certain. The rest f is an inclusion probability, which differs between classes: documents are
 ranked by random odds over inclusion odds, u/(1-u) / (f/(1-f)), and taken in that order up to
 the number of words that is still missing (a sample of fixed size, counted in words). At the
-border, documents that do not fit any more are passed over for later ones that do.
-Documents are always taken whole, so a source ends below its target by less than a document.
+border, documents that do not fit any more are passed over for later ones that do, and the
+document nearest to what is then missing is added if that comes nearer to the target.
+Documents are always taken whole.
 
 Scale: no window spans a source. Ranks are cut into buckets of about ``BUCKET_ROWS`` documents;
 a source is decided by the running words of its buckets, and only the bucket at the border is
@@ -200,10 +201,21 @@ def decide(
         )
 
     start = F.struct(F.col("_m_rest").alias("rest"), F.array().cast("array<boolean>").alias("taken"))
-    listed = listed.select("_m_group", F.aggregate("_m_list", start, next_one)["taken"].alias("_m_fits"))
+    listed = listed.withColumn("_m_state", F.aggregate("_m_list", start, next_one))
+    # what is still missing then is closed by the document nearest to it, if that comes nearer
+    rest, taken = F.col("_m_state")["rest"], F.col("_m_state")["taken"]
+    misses = F.transform(
+        F.filter("_m_list", lambda row: ~F.get(taken, row["_m_place"] - 1)),
+        lambda row: F.struct(F.abs(row["size"] - rest).alias("miss"), row["_m_place"].alias("place")),
+    )
+    nearest = F.array_min(misses)
+    listed = listed.select(
+        "_m_group", taken.alias("_m_fits"), F.when(nearest["miss"] < rest, nearest["place"]).alias("_m_close")
+    )
     at_border = at_border.join(listed, "_m_group")
-    fits = F.get("_m_fits", F.col("_m_place") - 1)
-    at_border = at_border.withColumn("_m_extra", F.when(fits, 1).otherwise(0)).drop("_m_place", "_m_fits")
+    fits = F.get("_m_fits", F.col("_m_place") - 1) | F.col("_m_place").eqNullSafe(F.col("_m_close"))
+    at_border = at_border.withColumn("_m_extra", F.when(fits, 1).otherwise(0))
+    at_border = at_border.drop("_m_place", "_m_fits", "_m_close")
     both = decided.unionByName(at_border)
     copies = F.when(F.col("_m_size") > 0, F.col("_m_sure") + F.col("_m_extra")).otherwise(0).cast("bigint")
     return both.withColumn("_m_taken", copies)
