@@ -4,13 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import mixing, quality, urls, warc
+from monthmill.llm import mixing, packing, quality, tokens, urls, warc
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    space = Workspace(spark, "packing")
+    parts = packing.pieces(tables(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return packing.pack(space.write(parts, "pieces"), space)
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache that starts empty, so that every distinct text is encoded once."""
+    importable(spark)
+    space = Workspace(spark, "tokens")
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path(TOKENIZER), space.path("cache"), space)
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(tables(spark, sf_dir, "documents"))
 
@@ -33,8 +52,10 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": best_fit_packing,
     "op2_warc_archive": warc_archive,
     "op4_quality_rules": quality_rules,
+    "op5_token_counts": token_counts,
     "op7_url_filters": url_filters,
     "op9_source_mix": source_mix,
 }
