@@ -7,11 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import mixing, packing, quality, tokens, urls, warc
+from monthmill.llm import embeddings, mixing, packing, quality, tokens, urls, warc
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
-
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -51,8 +50,15 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_index(warc.read_archive(spark, folder, space))
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    vectors = tables(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return embeddings.near_duplicates(vectors, Workspace(spark, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
+    "op10_embedding_near_dedup": embedding_near_dedup,
     "op2_warc_archive": warc_archive,
     "op4_quality_rules": quality_rules,
     "op5_token_counts": token_counts,
