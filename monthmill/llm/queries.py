@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import embeddings, mixing, packing, quality, tokens, urls, warc
+from monthmill.llm import embeddings, minhash, mixing, packing, quality, tokens, urls, warc
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -56,10 +56,17 @@ def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(vectors, Workspace(spark, "embeddings"))
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, Workspace(spark, "minhash"), percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
     "op2_warc_archive": warc_archive,
+    "op3_minhash_near_dedup": minhash_near_dedup,
     "op4_quality_rules": quality_rules,
     "op5_token_counts": token_counts,
     "op7_url_filters": url_filters,
