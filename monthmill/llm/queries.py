@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import embeddings, minhash, mixing, packing, quality, tokens, urls, warc
+from monthmill.llm import embeddings, minhash, mixing, packing, quality, suffix, tokens, urls, warc
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -62,6 +62,12 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, Workspace(spark, "minhash"), percent=85)
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.removal(docs, Workspace(spark, "suffix"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_minhash_near_dedup": minhash_near_dedup,
     "op4_quality_rules": quality_rules,
     "op5_token_counts": token_counts,
+    "op6_suffix_dedup": suffix_dedup,
     "op7_url_filters": url_filters,
     "op9_source_mix": source_mix,
 }
