@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Sequence
 from pathlib import Path
@@ -52,6 +53,13 @@ def shuffle_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished passes: it does so when the driver's JVM
+    finds, at a collection, that nothing refers to them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread_lookup(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, total: int
 ) -> DataFrame:
