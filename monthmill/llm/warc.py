@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import spread_lookup
+from monthmill.llm.common import free_shuffles, spread_lookup
 from monthmill.workspace import Workspace
 
 REVISIT_BYTES = 1000
@@ -102,6 +102,7 @@ def write_archive(pages: DataFrame, folder: str, space: Workspace, warc_files: b
         once.repartition("sha256").mapInArrow(first_per_task, bodies.schema)
         .write.option("compression", "zstd").parquet(f"{folder}/payloads")
     )
+    free_shuffles(pages.sparkSession)
     if warc_files:
         # a text writer that ends its values with two line breaks writes exactly WARC records
         records = read_archive(pages.sparkSession, folder, space)
