@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import embeddings, minhash, mixing, packing, quality, suffix, tokens, urls, warc
+from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -68,6 +68,12 @@ def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.removal(docs, Workspace(spark, "suffix"))
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    pages = tables(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.train(html.training_pages(pages)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
@@ -77,5 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": token_counts,
     "op6_suffix_dedup": suffix_dedup,
     "op7_url_filters": url_filters,
+    "op8_html_extraction": html_extraction,
     "op9_source_mix": source_mix,
 }
