@@ -12,9 +12,9 @@ hash functions, as an exponential value, truncated to its place on an exponentia
 3. A pair must have sizes that allow the threshold; then the similarity is estimated by maximum
    likelihood from both register sets and sizes, with a margin of ``MARGIN`` standard deviations;
    what passes is verified on the full sets.
-4. Keys whose classes are not all connected by then are compared once more: all their classes
-   in blocks of bounded size, but only pairs between different components matter, and only
-   those that pass the estimate leave a block. They are verified in the same way.
+4. Keys whose classes are not all connected by then are compared once more, in parts of bounded
+   size: of each pair of parts only the pairs between different components matter. They are
+   estimated and verified inside the task, and only links that connect components leave it.
 
 A pair at the threshold misses all bands with a probability below 1e-8 (0.85) or 4e-6 (0.8), and the estimate
 with 4e-6; every link that is reported is exact.
@@ -37,7 +37,6 @@ from functools import cache
 from itertools import islice
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -56,7 +55,8 @@ MARGIN = 4.5
 #: Registers stay within 16 bits: hashes are 32-bit numbers.
 TOP = 4000
 REMEMBERED = 400_000
-PART = 2000
+PART = 1000
+KEPT_BYTES = 64_000_000
 
 
 class Known(dict):
@@ -208,7 +208,17 @@ def stacked(column) -> np.ndarray:
     return np.frombuffer(b"".join(values), "<u2").reshape(len(values), REGISTERS)
 
 
-def linked_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, space: Workspace, percent: int) -> DataFrame:
+def candidate_texts(keys: DataFrame, classes: DataFrame, docs: DataFrame, space: Workspace) -> DataFrame:
+    """The text of one document of each class in ``keys``."""
+    wanted = keys.join(classes.select("key", "mark"), "key")
+    # one row per class even if its document is there twice; rows of one mark are equal
+    texts = marked(docs.select("doc_id", "text")).select("mark", "text")
+    texts = texts.mapInArrow(first_of_mark, texts.schema)
+    found = texts.join(wanted, "mark").select("key", "text").repartition("key")
+    return space.write(found.mapInArrow(first_of_key, "key bigint, text string"), "minhash-texts")
+
+
+def linked_pairs(pairs: DataFrame, classes: DataFrame, texts: DataFrame, space: Workspace, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``) of class keys that are similar, verified on the full sets."""
     facts = classes.select("key", "n_shingles", "registers")
     both = pairs.join(facts.select(F.col("key").alias("a"), F.col("n_shingles").alias("n_a"),
@@ -225,16 +235,8 @@ def linked_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, space: W
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     good = space.write(both.mapInArrow(estimated, "a bigint, b bigint"), "minhash-pairs")
-    wanted = good.select(F.col("a").alias("key")).unionByName(good.select(F.col("b").alias("key"))).distinct()
-    wanted = wanted.join(classes.select("key", "doc_id", "mark"), "key")
-    # one row per class even if its document is there twice; rows of one mark are equal
-    texts = marked(docs.select("doc_id", "text")).select("mark", "text")
-    texts = texts.mapInArrow(first_of_mark, texts.schema)
-    found = texts.join(wanted.select("mark", "key"), "mark").select("key", "text").repartition("key")
-    found = space.write(found.mapInArrow(first_of_key, "key bigint, text string"), "minhash-texts")
-
-    ready = good.join(found.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    ready = ready.join(found.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
+    ready = good.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+    ready = ready.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, center = None, np.empty(0, np.uint64)
@@ -248,7 +250,7 @@ def linked_pairs(pairs: DataFrame, classes: DataFrame, docs: DataFrame, space: W
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     out = space.write(ready.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a bigint, b bigint"), "minhash-links")
-    space.drop(found, good)
+    space.drop(good)
     return out
 
 
@@ -271,8 +273,84 @@ first_of_mark = first_of("mark")
 first_of_key = first_of("key")
 
 
-def remaining_pairs(bands: DataFrame, classes: DataFrame, star: DataFrame, space: Workspace, percent: int) -> DataFrame:
-    """Candidate pairs between different components of keys that are not connected yet."""
+GROUP = ("band", "value", "l", "r")
+
+
+class Sets:
+    """Shingle sets of a group's texts, made when needed and kept up to a bound."""
+
+    def __init__(self, texts: list) -> None:
+        self.texts, self.made, self.size = texts, {}, 0
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if i not in self.made:
+            if self.size > KEPT_BYTES:
+                self.made, self.size = {}, 0
+            self.made[i] = shingle_set(self.texts[i].as_py())
+            self.size += self.made[i].nbytes
+        return self.made[i]
+
+
+def group_links(rows: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """A spanning forest of the links between different components in one task's group."""
+    band, l, r = (rows.column(name)[0].as_py() for name in ("band", "l", "r"))
+    keys = rows.column("key").to_numpy()
+    order = np.argsort(keys, kind="stable")
+    order = order[np.concatenate([[True], keys[order][1:] != keys[order][:-1]])]
+    rows = rows.take(pa.array(order))
+    keys, own = rows.column("key").to_numpy(), rows.column("own").to_numpy()
+    sizes = rows.column("n_shingles").to_numpy().astype(float)
+    sketches = stacked(rows.column("registers").combine_chunks())
+    sets = Sets(rows.column("text"))
+    group = np.unique(rows.column("component").to_numpy(), return_inverse=True)[1]
+    links = []
+    for i in range(len(keys) - 1):
+        j = np.arange(i + 1, len(keys))
+        j = j[(group[j] != group[i]) & ((l == r) | (own[j] != own[i]))]
+        if not len(j):
+            continue
+        a = np.broadcast_to(sketches[i], (len(j), REGISTERS))
+        equal = (a == sketches[j]).reshape(len(j), BANDS, ROWS).all(axis=2)
+        first = equal.argmax(axis=1) == band  # a pair is judged in its first shared band
+        j, a = j[first], a[first]
+        keep = possible(a, sketches[j], np.full(len(j), sizes[i]), sizes[j], percent)
+        for k in j[keep].tolist():
+            if group[k] != group[i] and similar(sets[i], sets[k], percent):
+                links.append((int(keys[i]), int(keys[k])))
+                group[group == group[k]] = group[i]
+    return links
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows in the order of their groups, one table per group."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        parts = [batch.column(name).to_numpy() for name in GROUP]
+        fresh = np.zeros(batch.num_rows, bool)
+        for part in parts:
+            fresh[1:] |= part[1:] != part[:-1]
+        first = tuple(part[0] for part in parts)
+        if held and first != last:
+            yield pa.Table.from_batches(held)
+            held = []
+        bounds = [0, *np.flatnonzero(fresh).tolist(), batch.num_rows]
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            held.append(batch.slice(begin, end - begin))
+            if end < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+        last = tuple(part[-1] for part in parts)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def remaining_links(
+    bands: DataFrame, classes: DataFrame, texts: DataFrame, star: DataFrame, space: Workspace, percent: int
+) -> DataFrame:
+    """Links between different components that keys not connected yet still hold."""
     placed = classes.select("key", "n_shingles", "registers").join(
         star.withColumnRenamed("node", "key"), "key", "left"
     ).withColumn("component", F.coalesce("component", "key"))
@@ -283,34 +361,21 @@ def remaining_pairs(bands: DataFrame, classes: DataFrame, star: DataFrame, space
     split = space.write(split.select("band", "value", "members").withColumn(
         "parts", F.ceil(F.col("members") / PART).cast("int")), "minhash-split")
     member = spread_lookup(bands, split, ["band", "value"], "members", bands.count()).filter("parts is not null")
-    member = space.write(member.join(placed, "key"), "minhash-members")
     turn = F.pmod(F.xxhash64("key"), F.col("parts")).cast("int")
     numbers = F.sequence(F.lit(0), F.col("parts") - 1)
-    # every pair of parts is a task: part l against part r, l <= r
-    columns = ["band", "value", "key", "component", "n_shingles", "registers"]
-    spread = member.select(*columns, turn.alias("own"), F.explode(numbers).alias("other"))
-    spread = spread.select(*columns, F.least("own", "other").alias("l"), F.greatest("own", "other").alias("r"), "own")
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("key").sort_values("key")
-        l, r, band = (int(frame[name].iloc[0]) for name in ("l", "r", "band"))
-        keys, groups = frame["key"].to_numpy(), frame["component"].to_numpy()
-        sizes = frame["n_shingles"].to_numpy().astype(float)
-        sketches, own = stacked(frame["registers"]), frame["own"].to_numpy()
-        out = []
-        for i in range(len(frame) - 1):
-            j = np.arange(i + 1, len(frame))
-            j = j[(groups[j] != groups[i]) & ((l == r) | (own[j] != own[i]))]
-            if len(j):
-                a = np.broadcast_to(sketches[i], (len(j), REGISTERS))
-                equal = (a == sketches[j]).reshape(len(j), BANDS, ROWS).all(axis=2)
-                first = equal.argmax(axis=1) == band  # a pair is judged in its first shared band
-                j, a = j[first], a[first]
-                keep = possible(a, sketches[j], np.full(len(j), sizes[i]), sizes[j], percent)
-                out += [(int(keys[i]), int(keys[k])) for k in j[keep]]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    return spread.groupBy("band", "value", "l", "r").applyInPandas(compare, "a bigint, b bigint")
+    # every pair of parts is a task's group: part l against part r, l <= r
+    spread = member.select("band", "value", "key", turn.alias("own"), F.explode(numbers).alias("other")).select(
+        "band", "value", F.least("own", "other").alias("l"), F.greatest("own", "other").alias("r"), "own", "key")
+    ready = spread.join(placed, "key").join(texts, "key")
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_groups(batches):
+            found = group_links(rows, percent)
+            if found:
+                yield pa.record_batch([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    ordered = ready.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return space.write(ordered.mapInArrow(compared, "a bigint, b bigint"), "minhash-more-links")
 
 
 def grouped(docs: DataFrame, space: Workspace, percent: int) -> DataFrame:
@@ -332,14 +397,13 @@ def grouped(docs: DataFrame, space: Workspace, percent: int) -> DataFrame:
     shared = spread_lookup(bands, centers, ["band", "value"], "members", total).filter("a is not null")
     shared = space.write(shared.select("band", "value", "key", "a"), "minhash-bands")
     pairs = shared.filter("key != a").select("a", F.col("key").alias("b")).distinct()
-    links = linked_pairs(pairs, classes, docs, space, percent)
+    texts = candidate_texts(shared.select("key").distinct(), classes, docs, space)
+    links = linked_pairs(pairs, classes, texts, space, percent)
     star = components(links, space)
-
-    rest = space.write(remaining_pairs(shared.drop("a"), classes, star, space, percent)
-                       .join(pairs, ["a", "b"], "left_anti").distinct(), "minhash-rest")
-    if rest.limit(1).count():
-        more = linked_pairs(rest, classes, docs, space, percent)
+    more = remaining_links(shared.drop("a"), classes, texts, star, space, percent)
+    if more.limit(1).count():
         star = components(links.unionByName(more), space)
+    space.drop(texts)
     placed = classes.join(star.withColumnRenamed("node", "key"), "key", "left").withColumn(
         "component", F.coalesce("component", "key"))
     best = placed.groupBy("component").agg(
