@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from monthmill.llm.common import SPACE_RUN, SPACES, spread_lookup
 from monthmill.workspace import Workspace
 
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: So many words go through the library in one call.
 TOGETHER = 200
 #: Latin letters whose lower case is one letter, with marks behind them.
@@ -208,11 +208,10 @@ def count_tokens(docs: DataFrame, path: str, cache_folder: str, space: Workspace
     # copies meet in their map task first, so that a text with very many copies is shuffled once a task
     texts = texts.mapInArrow(first_per_task, texts.schema).repartition("digest")
     missing = texts.join(read_cache(spark, cache_folder, version), "digest", "left_anti")
-    missing = missing.mapInArrow(first_per_task, missing.schema)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        for batch in batches:
+        for batch in first_per_task(batches):
             counts = []
             for group in groups(batch.column("content").to_pylist()):
                 counts += [len(ids) // 4 for ids in encode(group)]
