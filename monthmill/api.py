@@ -81,8 +81,11 @@ def process_gold_features(
     )
 
 
-def as_of_join(loans: DataFrame, feature: DataFrame, name: str) -> DataFrame:
-    return asof.asof_join(loans, asof.Feature(name, feature))
+def as_of_join(
+    loans: DataFrame, feature: DataFrame, name: str, collapse_on: str | None = None
+) -> DataFrame:
+    """``collapse_on="loan_id"`` keeps one loan per customer and date."""
+    return asof.asof_join(loans, asof.Feature(name, feature), collapse_on=collapse_on)
 
 
 def generate_first_of_month_dates(spark: SparkSession, start: str, end: str) -> list[str]:

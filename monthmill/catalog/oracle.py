@@ -86,10 +86,10 @@ select case when c % 29 <> 0 then 'CUS_' || c end as Customer_ID,
        case when c % 10 = 0 then '_______' when c % 23 = 0 then ' ' else c_mktsegment end as Occupation
 from (select c_custkey as c, c_name, c_mktsegment, j from customer, unnest(range(0, 2)) as steps(j))""",
     "clickstream_raw": f"""
-select 'CUS_' || c as Customer_ID,
+select case when c % 10 <> 9 then 'CUS_' || c end as Customer_ID,
        cast(cast(date '1995-01-01' + to_months(cast(m as int)) as date) as varchar) as snapshot_date,
        {", ".join(f"cast((c * {i} + m * 7) % 200 - 1 as varchar) as fe_{i}" for i in range(1, 21))}
-from (select c_custkey as c, m from customer, unnest(range(0, 87)) as steps(m)) where c % 10 <> 9""",
+from (select c_custkey as c, m from customer, unnest(range(0, 87)) as steps(m))""",
 }
 
 
@@ -489,6 +489,17 @@ from gaps""",
     "pipeline_labels": """select loan_id, Customer_ID, cast(case when dpd >= 30 then 1 else 0 end as int) as label,
        '30dpd_6mob' as label_def, snapshot_date from loans where mob = 6""",
     "pipeline_features": _STORE,
+    "relabel_rerun": """select loan_id, Customer_ID, cast(case when dpd >= 30 then 1 else 0 end as int) as label,
+       '30dpd_0mob' as label_def, snapshot_date from loans where mob = 0""",
+    "silver_rerun": """select Customer_ID, snapshot_date from attr
+       where snapshot_date <> date '1995-06-01'""",
+    "calendar_backfill": """select loan_id, installment_num, snapshot_date from loans
+       where snapshot_date between date '1997-05-01' and date '1998-02-10'""",
+    "calendar_months": """select cast(unnest(generate_series(timestamp '1997-05-01', timestamp '1998-02-10',
+       interval 1 month)) as date) as snapshot_date""",
+    "quoted_transactions": """select InvoiceNo, StockCode, Description || ', "' || StockCode || '"' || chr(10) || ' end'
+         as Description, Quantity, Country from retail_tx""",
+    "metadata_file": "select * from metadata",
     "raw_layer": """select Customer_ID, Name, Age, SSN, Occupation, cast(snapshot_date as date) as snapshot_date
        from attributes_raw""",
     "transactions_file": "select * from countries",
@@ -524,7 +535,7 @@ from gaps""",
     "upper_quantiles": _quantiles(_POSITIVE, ("Quantity", "UnitPrice"), 0.99),
     "column_maxima": "select max(Quantity) as max_Quantity, max(UnitPrice) as max_UnitPrice from retail_tx",
     "histogram_quantity": _histogram("least(Quantity, 200)", _POSITIVE, 60),
-    "histogram_price": _histogram("least(UnitPrice, 300)", _POSITIVE, 60),
+    "histogram_price": _histogram("least(UnitPrice, 30)", _POSITIVE, 60),
     "monthly_revenue": """select strftime(InvoiceDate, '%Y-%m') as YearMonth,
        cast(sum(Revenue) as double) as Revenue, count(distinct InvoiceNo) as Orders,
        count(distinct CustomerID) as Customers from sales group by 1""",

@@ -275,6 +275,71 @@ def pipeline_labels(spark, sf_dir):
     return medallion.store_labels(spark, f"{folder}/silver", f"{folder}/labels")
 
 
+@register
+def relabel_rerun(spark, sf_dir):
+    """Labels stored for one loan age, then for another on the same folder: only the second stays."""
+    folder = new_folder(spark, "labels")
+    clean = f"{folder}/silver"
+    writers.write_layer(_loans(spark, sf_dir), clean)
+    medallion.store_labels(spark, clean, f"{folder}/gold", mob=6)
+    medallion.store_labels(spark, clean, f"{folder}/gold", mob=0)
+    return readers.read_layer(spark, f"{folder}/gold")
+
+
+@register
+def silver_rerun(spark, sf_dir):
+    """A month whose rows lose their keys between two runs is gone after the second."""
+    folder, source = new_folder(spark, "mart"), new_folder(spark, "source")
+    raw = views.attributes_raw(spark, sf_dir)
+    gone = F.col("snapshot_date") == "1995-06-01"
+    for number, rows in enumerate((raw, raw.withColumn("Customer_ID", F.when(~gone, F.col("Customer_ID"))))):
+        writers.write_csv(rows, f"{source}/{number}")
+        medallion.ingest_bronze(spark, "attributes", f"{source}/{number}", f"{folder}/bronze")
+        medallion.refine_silver(spark, "attributes", f"{folder}/bronze", f"{folder}/silver")
+    return readers.read_layer(spark, f"{folder}/silver").select("Customer_ID", "snapshot_date")
+
+
+@register
+def calendar_backfill(spark, sf_dir):
+    """A start inside a month loads that month; snapshots inside a month are not loaded."""
+    folder, source = new_folder(spark, "mart"), new_folder(spark, "source")
+    raw = views.loan_daily(spark, sf_dir)
+    inside = raw.withColumn("snapshot_date", F.date_add("snapshot_date", 16))
+    writers.write_csv(raw.unionByName(inside), source)
+    period = ("1997-05-15", "1998-02-10")
+    medallion.ingest_bronze(spark, "loan_daily", source, f"{folder}/bronze", *period, calendar=True)
+    clean = medallion.refine_silver(spark, "loan_daily", f"{folder}/bronze", f"{folder}/silver")
+    return clean.select("loan_id", "installment_num", "snapshot_date")
+
+
+@register
+def calendar_months(spark, sf_dir):
+    """The months that the backfill asks for, kept to those in which a loan has a snapshot."""
+    found = views.loan_daily(spark, sf_dir).select("snapshot_date").distinct()
+    return calendar.month_calendar(spark, "1997-05-15", "1998-02-10").join(found, "snapshot_date", "left_semi")
+
+
+@register
+def quoted_transactions(spark, sf_dir):
+    """Descriptions with commas, quotes and line breaks written as CSV and scanned again."""
+    folder = new_folder(spark, "transactions")
+    raw = views.retail_tx(spark, sf_dir)
+    odd = F.concat("Description", F.lit(', "'), "StockCode", F.lit('"\n end'))
+    text = raw.withColumns({"Description": odd, "InvoiceDate": F.date_format("InvoiceDate", "M/d/yyyy H:mm")})
+    text.write.options(**writers.CSV).csv(folder, encoding="ISO-8859-1")
+    back = readers.read_transactions(spark, folder, multi_line=True)
+    return back.select("InvoiceNo", "StockCode", "Description", "Quantity", "Country")
+
+
+@register
+def metadata_file(spark, sf_dir):
+    """The metadata table written as CSV with a header and read back."""
+    folder = new_folder(spark, "metadata")
+    table = QUERIES["customer_metadata"](spark, sf_dir)
+    writers.write_csv(table, folder)
+    return spark.read.schema(table.schema).options(**writers.CSV).csv(folder)
+
+
 @register
 def pipeline_features(spark, sf_dir):
     """All four files through all layers; the stored features are read back."""
@@ -394,7 +459,7 @@ def histogram_quantity(spark, sf_dir):
 @register
 def histogram_price(spark, sf_dir):
     lines = retail.positive_lines(_tx(spark, sf_dir, "Quantity", "UnitPrice"))
-    return profile.histogram(lines, cleaning.cap(F.col("UnitPrice"), 300), 60)
+    return profile.histogram(lines, cleaning.cap(F.col("UnitPrice"), 30), 60)
 
 
 # --- retail reports ------------------------------------------------------------------

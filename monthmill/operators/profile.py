@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +12,6 @@ from monthmill.functions.retail import percent
 from monthmill.operators.quantiles import exact_quantiles
 from monthmill.staging import settled
 
-MAX_GROUPS = 1000
-
 
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
     """Missing count and percentage per column, one scan; by default only columns with gaps."""
@@ -31,9 +30,16 @@ def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct non-null values per column, as one row per column."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    row = df.agg(*[count(F.col(c)).alias(c) for c in columns])
-    return row.unpivot([], list(columns), "column_name", "distinct_count")
+    if approximate:
+        row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns])
+        return row.unpivot([], list(columns), "column_name", "distinct_count")
+    # values meet on the map side, one column at a time; several distinct counts in one
+    # aggregate would first write every row once per column
+    counts = [
+        df.groupBy(c).count().agg(F.lit(c).alias("column_name"), F.count(F.col(c)).alias("distinct_count"))
+        for c in columns
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def date_range(df: DataFrame, column: str) -> DataFrame:
@@ -95,13 +101,21 @@ def numeric_summary(
 
 
 def grouped_summary(df: DataFrame, group: str, value: str, places: int = 0) -> DataFrame:
-    """The same summary of one column for each value of a category column (at most 1000)."""
-    base = settled(df.select(group, value), "summary").dropna(subset=[group])
-    groups = [r[0] for r in base.select(group).distinct().limit(MAX_GROUPS + 1).collect()]
-    if len(groups) > MAX_GROUPS:
-        raise ValueError(f"more than {MAX_GROUPS} groups in {group}")
-    columns = {str(g): F.when(F.col(group) == g, F.col(value)) for g in sorted(groups)}
-    return numeric_summary(base, columns, places).withColumnRenamed("column_name", group)
+    """The same summary of one column for each value of a category column.
+
+    Values are counted before the quartiles are taken, so what meets in a group are its
+    different values, however many rows it has.
+    """
+    rows = df.select(group, F.col(value).cast("double").alias("_value")).dropna(subset=[group])
+    moments = rows.groupBy(group).agg(_moments(F.col("_value"), places).alias("m"))
+    seen = rows.where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    counted = seen.groupBy(group, "_value").agg(F.count(F.lit(1)).alias("_rows"))
+    quartiles = counted.groupBy(group).agg(F.percentile("_value", [0.25, 0.5, 0.75], F.col("_rows")).alias("q"))
+    found = moments.join(quartiles, group, "left")
+    cuts = [F.bround(F.get("q", k), places).alias(name) for k, name in enumerate(("q25", "q50", "q75"))]
+    return found.select(
+        F.col(group).cast("string").alias(group), "m.count", "m.mean", "m.std", "m.min", *cuts, "m.max"
+    )
 
 
 def quantile_report(

@@ -1,8 +1,9 @@
 """Equi-joins whose left side may hold very many rows of one key.
 
 Keys above a share of all rows are split into pieces: the left rows take turns, the right
-rows are repeated once per piece. At most ``1 / share`` keys can be that frequent, which
-bounds the list that is broadcast whatever the size of the data.
+rows are repeated once per piece. The share is what one of the shuffle partitions would hold,
+so fewer keys than partitions can be that frequent, which bounds the list that is broadcast
+whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from pyspark.sql import functions as F
 
 from monthmill.staging import settled
 
-SHARE = 1 / 1000
-FLOOR = 1_000_000
 ROWS = "_rows"
 PIECES = "_pieces"
 PIECE = "_piece"
@@ -41,14 +40,12 @@ class Split:
     therefore settled first: a repeated task must find its rows in the same order.
     """
 
-    def __init__(
-        self, left: DataFrame, keys: Sequence[str], share: float = SHARE, floor: int = FLOOR
-    ) -> None:
+    def __init__(self, left: DataFrame, keys: Sequence[str], share: float | None = None) -> None:
         self.left = settled(left)
         self.keys = list(keys)
-        self.share = share
+        self.share = share or 1 / int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.counts = counts = count_keys(self.left, keys)
-        self.fair = F.greatest(F.lit(float(floor)), counts.agg(F.sum(ROWS) * share).scalar())
+        self.fair = F.greatest(F.lit(1.0), counts.agg(F.sum(ROWS) * self.share).scalar())
         self.hot = counts.where(F.col(ROWS) > self.fair).select(
             *keys, self.pieces(F.col(ROWS)).alias(PIECES)
         )
@@ -87,14 +84,13 @@ def left_joins(
     left: DataFrame,
     rights: Sequence[DataFrame],
     keys: Sequence[str],
-    share: float = SHARE,
-    floor: int = FLOOR,
+    share: float | None = None,
 ) -> DataFrame:
     """Left joins of several tables on the same keys with one shuffle of each table.
 
     All joins use (keys, piece), so the partitioning of the first serves the others.
     """
-    split = Split(left, keys, share, floor)
+    split = Split(left, keys, share)
     joined = split.spread()
     for right in rights:
         joined = split.join(joined, split.repeat(right))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthmill import fixed_values as fixed
 from monthmill.plans import silver
@@ -55,13 +56,30 @@ def _months(df: DataFrame, start: Day, end: Day) -> DataFrame:
     return readers.in_period(df, start, end)
 
 
+def month_start(day: Day) -> Day:
+    """The first day of the month of an ISO date."""
+    return None if day is None else f"{str(day)[:7]}-01"
+
+
 def ingest_bronze(
-    spark: SparkSession, table: str, source: str, bronze: str, start: Day = None, end: Day = None
+    spark: SparkSession,
+    table: str,
+    source: str,
+    bronze: str,
+    start: Day = None,
+    end: Day = None,
+    calendar: bool = False,
 ) -> DataFrame:
-    """Source file to bronze, unchanged, for the months from ``start`` to ``end``."""
+    """Source file to bronze, unchanged, for the months from ``start`` to ``end``.
+
+    ``calendar`` loads snapshots on the first of a month only.
+    """
     kind = TABLES[table]
+    start = month_start(start) if calendar else start
     rows = _months(kind.read_source(spark, source), start, end)
-    writers.write_layer(rows, bronze, kind.bronze_format)
+    if calendar:
+        rows = readers.on_calendar(rows, start, end)
+    writers.write_layer(rows, bronze, kind.bronze_format, start, end)
     return _months(kind.read_bronze(spark, bronze), start, end)
 
 
@@ -70,9 +88,9 @@ def refine_silver(
 ) -> DataFrame:
     """Bronze to silver for the months from ``start`` to ``end``."""
     kind = TABLES[table]
-    rows = _months(kind.read_bronze(spark, bronze), start, end)
-    writers.write_layer(kind.clean(rows), silver_root)
-    return _months(readers.read_layer(spark, silver_root), start, end)
+    rows = kind.clean(_months(kind.read_bronze(spark, bronze), start, end))
+    writers.write_layer(rows, silver_root, start=start, end=end)
+    return _months(readers.read_layer(spark, silver_root, schema=rows.schema), start, end)
 
 
 def store_labels(
@@ -86,8 +104,9 @@ def store_labels(
 ) -> DataFrame:
     """Silver loans to the label store for the months from ``start`` to ``end``."""
     rows = _months(readers.read_layer(spark, silver_loans), start, end)
-    writers.write_layer(default_labels(rows, dpd, mob), labels)
-    return _months(readers.read_layer(spark, labels), start, end)
+    found = default_labels(rows, dpd, mob)
+    writers.write_layer(found, labels, start=start, end=end)
+    return _months(readers.read_layer(spark, labels, schema=found.schema), start, end)
 
 
 def store_features(
@@ -124,13 +143,16 @@ def run_pipeline(
 ) -> tuple[DataFrame, DataFrame]:
     """From the four source files to the label store and the feature store.
 
-    ``start`` and ``end`` bound the loan snapshots; the feature tables are taken with all the
-    dates they have. Repeating a run replaces the same months.
+    Loan snapshots are those on the first of a month, from the month of ``start`` up to ``end``;
+    the feature tables are taken with all the dates they have. Repeating a run replaces the
+    same months. Beside the layers, ``audit`` holds the rows of every layer and snapshot.
     """
+    start = month_start(start)
     for name, kind in TABLES.items():
-        period = (start, end) if name == "loan_daily" else (None, None)
+        loans = name == "loan_daily"
+        period = (start, end) if loans else (None, None)
         bronze, clean = f"{datamart}/bronze/{name}", f"{datamart}/silver/{name}"
-        ingest_bronze(spark, name, f"{data}/{kind.source_file}", bronze, *period)
+        ingest_bronze(spark, name, f"{data}/{kind.source_file}", bronze, *period, calendar=loans)
         refine_silver(spark, name, bronze, clean, *period)
     layers = {name: f"{datamart}/silver/{name}" for name in TABLES}
     labels = store_labels(
@@ -145,4 +167,25 @@ def run_pipeline(
         f"{datamart}/gold/feature_store",
         **options,
     )
+    audit(spark, datamart, labels, features).write.mode("overwrite").parquet(f"{datamart}/audit")
     return labels, features
+
+
+def audit(spark: SparkSession, datamart: str, labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Rows per layer, table and snapshot, and for the features how many rows found a record."""
+    parts = {("gold", "label_store"): labels, ("gold", "feature_store"): features}
+    for name, kind in TABLES.items():
+        parts["bronze", name] = kind.read_bronze(spark, f"{datamart}/bronze/{name}")
+        parts["silver", name] = readers.read_layer(spark, f"{datamart}/silver/{name}")
+    counts = None
+    for (layer, name), table in parts.items():
+        rows = table.groupBy(F.col(readers.SNAPSHOT).cast("date").alias(readers.SNAPSHOT)).agg(
+            F.count(F.lit(1)).alias("row_count"),
+            *[
+                (F.count(lag) if lag in table.columns else F.lit(None).cast("bigint")).alias(f"{lag[:-9]}_matched")
+                for lag in ("financials_lag_days", "attributes_lag_days")
+            ],
+        )
+        rows = rows.select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "*")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts

@@ -202,11 +202,22 @@ def product_revenue(
     products = sales.dropna(subset=["StockCode", "Description"]).where(
         ~expr.is_non_product(F.col("StockCode"), codes)
     )
-    return products.groupBy("StockCode", "Description").agg(
+    # lines are summed per invoice first; two distinct counts over raw lines would triple them
+    per_order = products.groupBy("StockCode", "Description", "InvoiceNo", "CustomerID").agg(
+        F.sum("Revenue").alias("Revenue"), F.sum("Quantity").alias("Quantity")
+    )
+    per_customer = per_order.groupBy("StockCode", "Description", "CustomerID").agg(
+        F.sum("Revenue").alias("Revenue"), F.sum("Quantity").alias("Quantity")
+    )
+    totals = per_customer.groupBy("StockCode", "Description").agg(
         F.sum("Revenue").alias("Revenue"),
         F.sum("Quantity").alias("Qty_sold"),
-        F.count_distinct("InvoiceNo").alias("Unique_orders"),
-        F.count_distinct("CustomerID").alias("Unique_customers"),
+        F.count("CustomerID").alias("Unique_customers"),
+    )
+    orders = per_order.groupBy("StockCode", "Description", "InvoiceNo").agg(F.lit(1).alias("one"))
+    orders = orders.groupBy("StockCode", "Description").agg(F.count("InvoiceNo").alias("Unique_orders"))
+    return totals.join(orders, ["StockCode", "Description"]).select(
+        "StockCode", "Description", "Revenue", "Qty_sold", "Unique_orders", "Unique_customers"
     )
 
 

@@ -1,14 +1,19 @@
-"""Layer writers. A run replaces exactly the months it contains, so it can be repeated."""
+"""Layer writers. A run replaces the months of its period, whatever they held before."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession
 
 from monthmill.sources.calendar import has_snapshot
-from monthmill.sources.readers import SNAPSHOT
+from monthmill.sources.readers import QUOTES, SNAPSHOT
 
 # blanks around a value are part of it
-CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, **QUOTES}
+
+Day = str | date | None
 
 
 def by_snapshot(df: DataFrame) -> DataFrame:
@@ -16,8 +21,15 @@ def by_snapshot(df: DataFrame) -> DataFrame:
     return df.hint("rebalance", SNAPSHOT)
 
 
-def write_layer(df: DataFrame, root: str, file_format: str = "parquet") -> None:
-    """Write by snapshot date and replace only the months present in ``df``."""
+def write_layer(
+    df: DataFrame, root: str, file_format: str = "parquet", start: Day = None, end: Day = None
+) -> None:
+    """Write by snapshot date; stored months from ``start`` to ``end`` that ``df`` does not have go.
+
+    ``df`` holds rows of that period only. Months outside of it are not touched. A month was
+    written if its files are others than before, as each write names its files anew.
+    """
+    before = stored_months(df.sparkSession, root, start, end)
     writer = (
         by_snapshot(has_snapshot(df))
         .write.mode("overwrite")
@@ -28,6 +40,27 @@ def write_layer(df: DataFrame, root: str, file_format: str = "parquet") -> None:
     if file_format == "csv":
         writer = writer.options(**CSV)
     writer.save(root)
+    after = stored_months(df.sparkSession, root, start, end)
+    for folder, (path, files) in before.items():
+        if folder in after and after[folder][1] == files:
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored_months(spark: SparkSession, root: str, start: Day, end: Day) -> dict[str, tuple]:
+    """The month folders of a layer within a period, with their path and file names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return {}
+    mark, found = f"{SNAPSHOT}=", {}
+    for status in system.listStatus(path):
+        name = status.getPath().getName()
+        month = unquote(name.removeprefix(mark))
+        inside = (start is None or month >= str(start)) and (end is None or month <= str(end))
+        if name.startswith(mark) and inside:
+            files = {file.getPath().getName() for file in system.listStatus(status.getPath())}
+            found[name] = status.getPath(), files
+    return found
 
 
 def replace_layer(df: DataFrame, root: str) -> None:

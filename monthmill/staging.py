@@ -6,35 +6,26 @@ lost executor costs a re-read instead of a recomputation.
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
-_SHUFFLE = re.compile(r"(?<!Broadcast)Exchange\b")
+from monthmill.workspace import shared_folder
 
-
-def staging_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a private one only in local mode."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder:
-        return folder
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="monthmill-")
-    context.setCheckpointDir(folder)
-    return folder
+#: Folders of the scope that is open in this thread, if one is.
+_scope: ContextVar[list[str] | None] = ContextVar("staging_scope", default=None)
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "View", "LogicalRelation", "LocalRelation", "Range"}
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the staging root (not created yet)."""
-    folder = f"{staging_root(spark).rstrip('/')}/monthmill/{label}-{uuid.uuid4().hex}"
-    _written.append(folder)
+    """A fresh folder name below the shared folder (not created yet)."""
+    folder = f"{shared_folder(spark)}/monthmill/{label}-{uuid.uuid4().hex}"
+    owned = _scope.get()
+    if owned is not None:
+        owned.append(folder)
     return folder
 
 
@@ -46,12 +37,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def is_scan(df: DataFrame) -> bool:
-    """Whether a table is read and computed row by row, without any shuffle.
+    """Whether a table is read and computed row by row, without joins, aggregates or shuffles.
 
     Such a table costs no more than its scan each time it is used, and its rows come in the
-    same order each time, also when lost work is repeated.
+    same order each time, also when lost work is repeated. This is read off the operators that
+    were asked for, so it depends neither on sizes nor on the plan that is chosen for them.
     """
-    return not _SHUFFLE.search(df._jdf.queryExecution().executedPlan().toString())
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() in _ROW_BY_ROW:
+        if not plan.children().size():
+            return True
+        plan = plan.children().apply(0)
+    return False
 
 
 def settled(df: DataFrame, label: str = "settled") -> DataFrame:
@@ -61,14 +58,15 @@ def settled(df: DataFrame, label: str = "settled") -> DataFrame:
 
 @contextmanager
 def staging_scope(spark: SparkSession) -> Iterator[None]:
-    """Remove, on leaving, the tables staged inside the block (use them before that)."""
-    first = len(_written)
+    """Remove, on leaving, the tables that this thread staged inside the block."""
+    owned: list[str] = []
+    token = _scope.set(owned)
     try:
         yield
     finally:
+        _scope.reset(token)
         hadoop = spark._jvm.org.apache.hadoop.fs.Path
         configuration = spark._jsc.hadoopConfiguration()
-        for folder in _written[first:]:
+        for folder in owned:
             path = hadoop(folder)
             path.getFileSystem(configuration).delete(path, True)
-        del _written[first:]

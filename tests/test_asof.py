@@ -52,7 +52,7 @@ def test_asof_equals_brute_force(random_tables):
 
 def test_splitting_hot_keys_changes_nothing(random_tables):
     loans, rows, left, feature = random_tables
-    joined = asof.with_records(left, [asof.Feature("f", feature)], share=1 / 100, floor=2).collect()
+    joined = asof.with_records(left, [asof.Feature("f", feature)], share=1 / 100).collect()
     assert len(joined) == len(loans)
     assert {r.loan_id: (r.value, r.f_lag_days) for r in joined} == expected(loans, rows)
 
@@ -62,7 +62,7 @@ def test_several_features_share_one_timeline(random_tables):
     later = [(c, d + timedelta(days=3), v * 2) for c, d, v in rows if c and d]
     second = left.sparkSession.createDataFrame(later, FEATURE.replace("value", "double"))
     features = [asof.Feature("f", feature), asof.Feature("g", second)]
-    joined = asof.with_records(left, features, share=1 / 50, floor=2).collect()
+    joined = asof.with_records(left, features, share=1 / 50).collect()
     assert {r.loan_id: (r.value, r.f_lag_days) for r in joined} == expected(loans, rows)
     assert {r.loan_id: (r.double, r.g_lag_days) for r in joined} == expected(loans, later)
 
@@ -108,7 +108,7 @@ def test_left_joins_with_hot_and_missing_keys(random_tables):
     loans, rows, left, feature = random_tables
     other = feature.withColumnRenamed("value", "other")
     keys = ["Customer_ID", "snapshot_date"]
-    joined = skew.left_joins(left, [feature, other], keys, share=1 / 100, floor=2)
+    joined = skew.left_joins(left, [feature, other], keys, share=1 / 100)
     plain = left.join(feature, keys, "left").join(other, keys, "left")
     columns = ["loan_id", "value", "other"]
     assert sorted(map(str, joined.select(columns).collect())) == sorted(map(str, plain.select(columns).collect()))
@@ -116,7 +116,7 @@ def test_left_joins_with_hot_and_missing_keys(random_tables):
 
 def test_hot_keys_are_cut_into_pieces_of_a_fair_share(frame):
     left = frame("k string, n int", *[("hot", n) for n in range(600)], *[(f"k{n}", n) for n in range(400)])
-    split = skew.Split(left, ["k"], share=1 / 10, floor=1)
+    split = skew.Split(left, ["k"], share=1 / 10)
     assert [tuple(r) for r in split.hot.collect()] == [("hot", 6)]
     sizes = split.spread().where("k = 'hot'").groupBy("_piece").count().collect()
     assert len(sizes) == 6 and max(r["count"] for r in sizes) <= 200
@@ -125,7 +125,7 @@ def test_hot_keys_are_cut_into_pieces_of_a_fair_share(frame):
 
 def test_copies_of_one_row_are_dealt_out(spark):
     left = spark.range(1000).select(F.lit("x").alias("k"), F.lit(1).alias("v")).repartition(4)
-    split = skew.Split(left, ["k"], share=1 / 10, floor=1)
+    split = skew.Split(left, ["k"], share=1 / 10)
     assert split.spread().select("_piece").distinct().count() == 10
 
 

@@ -88,7 +88,7 @@ def test_loans_through_all_layers_by_date(spark, tmp_path):
     labels = readers.read_layer(spark, gold)
     assert labels.count() == stored.where("mob = 6").count() > 0
     assert dict(labels.dtypes)["snapshot_date"] == "date"
-    assert (mart / "b").glob("**/*.csv")
+    assert list((mart / "b").glob("**/*.csv"))
 
 
 def test_feature_store_is_replaced_as_a_whole(frame, spark, tmp_path):
@@ -118,6 +118,39 @@ def test_latin1_transactions(spark, tmp_path):
     assert (second.InvoiceDate, second.CustomerID, second.Quantity) == (None, None, -6)
 
 
+def test_quoted_text_is_read_as_written(spark, tmp_path):
+    path = tmp_path / "data.csv"
+    head = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+    path.write_text(head + '536365,1,"BOX ""HEARTS"", red",6,12/1/2010 8:26,2.55,17850,United Kingdom\n'
+                    '536366,2,"two\nlines",1,12/1/2010 8:26,1,17850,France\n')
+    rows = readers.read_transactions(spark, str(path), multi_line=True).collect()
+    assert [(r.Description, r.Quantity, r.CustomerID, r.Country) for r in rows] == [
+        ('BOX "HEARTS", red', 6, 17850, "United Kingdom"), ("two\nlines", 1, 17850, "France")]
+
+
+def test_months_that_lost_their_rows_are_removed(frame, spark, tmp_path):
+    root = str(tmp_path / "layer")
+    schema = "snapshot_date date, v int"
+    writers.write_layer(frame(schema, (date(2023, 1, 1), 1), (date(2023, 2, 1), 2), (date(2023, 3, 1), 3)), root)
+    writers.write_layer(frame(schema, (date(2023, 2, 1), 5)), root, start="2023-02-01", end="2023-03-01")
+    stored = readers.read_layer(spark, root, schema=frame(schema).schema)
+    assert sorted(r.v for r in stored.collect()) == [1, 5]
+    writers.write_layer(frame(schema), root, start="2023-01-01", end="2023-02-01")
+    assert readers.read_layer(spark, root, schema=frame(schema).schema).count() == 0
+
+
+def test_scopes_of_two_threads_do_not_touch_each_other(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def job(number):
+        with staging_scope(spark):
+            tables = [stage(spark.range(number + k)) for k in range(3)]
+            return [t.count() for t in tables]
+
+    with ThreadPoolExecutor(4) as pool:
+        assert list(pool.map(job, range(1, 9))) == [[n, n + 1, n + 2] for n in range(1, 9)]
+
+
 def test_times_do_not_depend_on_the_session_zone(spark, tmp_path):
     path = tmp_path / "data.csv"
     path.write_text("InvoiceDate,Quantity,UnitPrice,CustomerID\n3/13/2011 2:30,1,1,1\nbad,1,1,1\n")
