@@ -7,7 +7,7 @@ from monthmill.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
