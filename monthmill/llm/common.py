@@ -61,9 +61,15 @@ def free_shuffles(spark: SparkSession) -> None:
 
 
 def spread_lookup(
-    rows: DataFrame, table: DataFrame, keys: Sequence[str], count: str, total: int
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    count: str,
+    total: int,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of ``rows`` with ``table``, which has one row per key and its number of rows.
+    Where the rows of ``table`` are large, ``counts`` has the numbers instead.
 
     A key with more than a fair share of the rows (their number over the shuffle partitions) is
     split: its table row is repeated and its rows take turns. Fewer keys than shuffle partitions
@@ -73,13 +79,17 @@ def spread_lookup(
     keys = list(keys)
     fair = max(1, total // max(1, shuffle_tasks(rows)))
     pieces = F.ceil(F.col(count) / F.lit(fair)).cast("int")
-    hot = table.filter(F.col(count) > fair).select(*keys, pieces.alias("_pieces"))
+    known = table if counts is None else counts
+    hot = known.filter(F.col(count) > fair).select(*keys, pieces.alias("_pieces"))
     dealt = (
         rows.withColumn("_turn", F.monotonically_increasing_id())
         .join(F.broadcast(hot), keys, "left")
         .withColumn("_piece", F.pmod("_turn", F.coalesce("_pieces", F.lit(1))).cast("int"))
         .drop("_turn", "_pieces")
     )
-    last = F.when(F.col(count) > fair, pieces - 1).otherwise(F.lit(0))
-    repeated = table.withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
+    if counts is None:
+        last = F.when(F.col(count) > fair, pieces - 1).otherwise(F.lit(0))
+    else:
+        table, last = table.join(F.broadcast(hot), keys, "left"), F.coalesce("_pieces", F.lit(1)) - 1
+    repeated = table.withColumn("_piece", F.explode(F.sequence(F.lit(0), last))).drop("_pieces")
     return dealt.join(repeated, [*keys, "_piece"], "left").drop("_piece")

@@ -127,8 +127,8 @@ def read_archive(spark: SparkSession, folder: str, space: Workspace) -> DataFram
     )
     uses = headers.groupBy("sha256").agg(F.count(F.lit(1)).alias("uses"))
     total = headers.count()
-    table = payloads.select("sha256", verified.alias("payload")).join(uses, "sha256")
-    rows = spread_lookup(headers, table, ["sha256"], "uses", total)
+    table = payloads.select("sha256", verified.alias("payload"))
+    rows = spread_lookup(headers, table, ["sha256"], "uses", total, counts=uses)
     body = F.when(header_field(F.col("header"), "WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     record = F.concat(F.encode(F.concat("header", F.lit(CRLF * 2)), "UTF-8"), body, F.lit((CRLF * 2).encode()))
     return rows.select("page_id", "header", "payload", record.alias("record"))
