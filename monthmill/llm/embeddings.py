@@ -38,7 +38,7 @@ from monthmill.llm.components import components
 from monthmill.workspace import Workspace
 
 COSINE = 0.9
-BLOCK_DIMS = 8
+BLOCK_DIMS = 16
 CELL_ROWS = 20_000
 #: Rows and columns of the distance matrix computed at once.
 TILE = (1024, 4096)
@@ -55,9 +55,12 @@ def usable(vector: Column) -> Column:
 
 def unit_rows(vectors: pd.Series, width: int) -> np.ndarray:
     """Unit vectors in double precision, shorter ones filled up with zeros."""
-    out = np.zeros((len(vectors), width))
-    for k, vector in enumerate(vectors):
-        out[k, : len(vector)] = vector
+    if len(vectors) and (vectors.map(len) == width).all():
+        out = np.stack(vectors.to_list()).astype(np.float64)
+    else:
+        out = np.zeros((len(vectors), width))
+        for k, vector in enumerate(vectors):
+            out[k, : len(vector)] = vector
     # the largest component first, so that squares neither overflow nor vanish
     out /= np.abs(out).max(axis=1, keepdims=True)
     return out / np.sqrt((out * out).sum(axis=1, keepdims=True))
@@ -171,8 +174,13 @@ def cell_links(
     linked = np.zeros(len(keys), dtype=np.int64)
     forest = Forest(len(keys))
     part, budget, _, _ = layout.blocks[block]
-    near = places[:, part]
-    squares = (near * near).sum(axis=1)
+    near = places[:, part].astype(np.float32)
+    half = (near * near).sum(axis=1, keepdims=True) / 2
+    # one product gives x.y - |x|^2/2 - |y|^2/2, minus half the squared distance
+    one = np.ones_like(half)
+    rows_of, columns_of = np.hstack([near, -half, one]), np.hstack([near, one, -half])
+    least = np.float32(-budget / 2 - 1e-5)
+    left, right = left[np.argsort(keys[left])], right[np.argsort(keys[right])]
 
     def apart(i: np.ndarray, j: np.ndarray, at: slice) -> np.ndarray:
         difference = places[i, at] - places[j, at]
@@ -180,10 +188,10 @@ def cell_links(
 
     for a in range(0, len(left), TILE[0]):
         rows = left[a : a + TILE[0]]
-        for b in range(0, len(right), TILE[1]):
+        first = int(np.searchsorted(keys[right], keys[rows[0]], side="right"))
+        for b in range(first, len(right), TILE[1]):
             columns = right[b : b + TILE[1]]
-            distance = squares[rows][:, None] + squares[columns][None, :] - 2 * near[rows] @ near[columns].T
-            i, j = np.nonzero(distance <= budget + 1e-7)
+            i, j = np.nonzero(rows_of[rows] @ columns_of[columns].T >= least)
             i, j = rows[i], columns[j]
             later = keys[i] < keys[j]  # a pair belongs to the home cell of its smaller key
             i, j = i[later], j[later]
