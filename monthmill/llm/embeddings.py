@@ -4,8 +4,9 @@ Two unit vectors with cosine c are at squared distance 2 - 2c. All vectors are r
 principal axes of the whole table and split into blocks of ``BLOCK_DIMS`` axes; every block gets a
 share of the squared distance in proportion to its variance. If two vectors are within the
 total, they are within the share of at least one block. Each block is a range join: vectors
-have a home cell on a grid over the block's first axes and also visit the neighbouring cells
-that their range touches. Candidates of a cell are found block by block of a distance matrix,
+have a home cell on a grid over the block's first axes (as many as part the rows into cells of
+the wanted size, none where the range is as wide as the data) and also visit the neighbouring
+cells that their range touches. Candidates of a cell are found block by block of a distance matrix,
 kept in the first block that joins them (so each pair is judged once), and verified exactly with
 the full vectors in double precision.
 
@@ -121,9 +122,11 @@ class Layout:
             budget = whole * (share / scale if total else 1.0) * (1 + SLACK) + SLACK
             radius = math.sqrt(budget)
             grid, cells = 0, 1.0
-            while grid < part.stop - part.start and (grid == 0 or rows / cells > CELL_ROWS):
+            while grid < part.stop - part.start and rows / cells > CELL_ROWS:
                 spread = 4 * math.sqrt(max(variances[part.start + grid], 0.0))
-                cells *= max(1.0, spread / (2 * radius))
+                if spread < 4 * radius:
+                    break  # fewer than two cells on this axis: it would copy rows and part nothing
+                cells *= spread / (2 * radius)
                 grid += 1
             sized.append((part, budget, 2 * radius, grid))
         self.blocks = sized
