@@ -1,7 +1,7 @@
 """A content-addressed WARC archive: payload bytes once, record headers apart.
 
 ``write_archive`` makes one WARC record per page. The archive is three tables below one folder:
-``payloads`` holds every distinct payload once under its SHA-256, ``headers`` the exact header
+``payloads`` holds every distinct payload once, compressed, under its SHA-256, ``headers`` the exact header
 block of every record with the digest of its payload, both Parquet, and ``warc`` (optional) the records themselves
 as gzip-compressed WARC files. ``read_archive`` joins headers and payloads, verifies that
 every payload still has its digest and length, and returns the original records byte by byte.
@@ -10,8 +10,9 @@ Of the records with equal payloads of at least ``REVISIT_BYTES`` bytes, the one
 page_id is the response and the others are revisits of it; smaller payloads are always
 responses. A revisit's record has no payload bytes, as usual, but its headers name the digest.
 
-Scale: payload bytes are shuffled once, by digest, and only one row per digest and task leaves
-the map side with its bytes. All other joins are on digests and small rows; digests with
+Scale: payloads are compressed where they are read. They are shuffled once to be stored, by
+digest, and only one row per digest and task leaves the map side; and once to be read back. All
+other joins are on digests and small rows; digests with
 very many pages are split (``spread_lookup``).
 
 Edge cases: a null html is an empty payload; repeated rows are records of their own, and if
@@ -22,9 +23,11 @@ other columns are not part of a record and are ignored.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +80,28 @@ def first_per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct payloads of a task, compressed."""
+    shrink = zstandard.ZstdCompressor(level=6).compress
+    for batch in first_per_task(batches):
+        bodies = [shrink(body.as_buffer()) for body in batch.column("payload")]
+        yield pa.record_batch({"sha256": batch.column("sha256"), "payload": pa.array(bodies, pa.binary())})
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their payload as it was; fails if it lost its digest."""
+    restore = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        bodies = []
+        for key, body in zip(batch.column("sha256").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+            body = restore(body)
+            if hashlib.sha256(body).hexdigest() != key:
+                raise ValueError(f"payload does not have its digest {key}")
+            bodies.append(body)
+        at = batch.schema.get_field_index("payload")
+        yield batch.set_column(at, "payload", pa.array(bodies, pa.binary()))
+
+
 def write_archive(pages: DataFrame, folder: str, space: Workspace, warc_files: bool = False) -> None:
     """Write the records of ``pages`` (page_id, url, html) below ``folder``."""
     html = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
@@ -97,11 +122,8 @@ def write_archive(pages: DataFrame, folder: str, space: Workspace, warc_files: b
     rows.select("page_id", "sha256", header_block(kind).alias("header")).write.parquet(f"{folder}/headers")
 
     bodies = read.select(F.sha2("payload", 256).alias("sha256"), "payload")
-    once = bodies.mapInArrow(first_per_task, bodies.schema)
-    (
-        once.repartition("sha256").mapInArrow(first_per_task, bodies.schema)
-        .write.option("compression", "zstd").parquet(f"{folder}/payloads")
-    )
+    once = bodies.mapInArrow(packed, bodies.schema).repartition("sha256")
+    once.mapInArrow(first_per_task, bodies.schema).write.parquet(f"{folder}/payloads")
     free_shuffles(pages.sparkSession)
     if warc_files:
         # a text writer that ends its values with two line breaks writes exactly WARC records
@@ -122,13 +144,11 @@ def read_archive(spark: SparkSession, folder: str, space: Workspace) -> DataFram
     ``record`` (the exact bytes). Fails if a payload lost its digest or length."""
     headers = spark.read.parquet(f"{folder}/headers")
     payloads = spark.read.parquet(f"{folder}/payloads")
-    verified = F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")).otherwise(
-        F.raise_error(F.concat(F.lit("payload does not have its digest "), F.col("sha256")))
-    )
     uses = headers.groupBy("sha256").agg(F.count(F.lit(1)).alias("uses"))
     total = headers.count()
-    table = payloads.select("sha256", verified.alias("payload"))
-    rows = spread_lookup(headers, table, ["sha256"], "uses", total, counts=uses)
+    rows = spread_lookup(headers, payloads, ["sha256"], "uses", total, counts=uses)
+    rows = rows.select("page_id", "sha256", "header", "payload")
+    rows = rows.mapInArrow(unpacked, rows.schema)
     body = F.when(header_field(F.col("header"), "WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     record = F.concat(F.encode(F.concat("header", F.lit(CRLF * 2)), "UTF-8"), body, F.lit((CRLF * 2).encode()))
     return rows.select("page_id", "header", "payload", record.alias("record"))

@@ -4,6 +4,7 @@ from collections import defaultdict
 from pathlib import Path
 
 import pytest
+import zstandard
 
 from monthmill.llm import warc
 
@@ -56,7 +57,7 @@ def test_damaged_payload_is_noticed(spark, space):
     folder = space.path("archive")
     warc.write_archive(pages_of(spark, (1, "u", "body", "")), folder, space)
     stored = spark.read.parquet(f"{folder}/payloads").collect()
-    spark.createDataFrame([(r.sha256, b"other") for r in stored], "sha256 string, payload binary").write.mode(
+    spark.createDataFrame([(r.sha256, zstandard.ZstdCompressor().compress(b"other")) for r in stored], "sha256 string, payload binary").write.mode(
         "overwrite").parquet(f"{folder}/payloads")
     with pytest.raises(Exception, match="digest"):
         warc.read_archive(spark, folder, space).collect()
