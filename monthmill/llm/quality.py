@@ -140,10 +140,9 @@ def keep_good(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROW
     rules = ordered_rules(sample, [*base_rules(measured), *style_rules(measured)])
     sample.unpersist()
     # a condition on columns is moved below them, where it would split every text again for each
-    # use of its words; a condition on an exploded array (of one element) stays where it is
-    marked = ready.withColumn("_q_keep", cascade(rules))
-    kept = marked.select(*[F.col(f"`{name}`") for name in docs.columns], F.explode(F.array("_q_keep")).alias("_q_kept"))
-    return kept.filter("_q_kept").drop("_q_kept")
+    # use of its words; not so on a column that depends on the row's place
+    verdict = F.when(F.monotonically_increasing_id() >= 0, cascade(rules))
+    return ready.withColumn("_q_keep", verdict).filter("_q_keep").drop(*HELPERS, "_q_keep")
 
 
 def judged(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
