@@ -382,10 +382,16 @@ PRIOR = Model(
 
 
 def training_pages(pages: DataFrame, at_most: int = TRAINING_PAGES) -> list[str]:
-    """A bounded sample of pages with labels, the same at every run."""
-    semantic = pages.filter(F.col("html").rlike(r"<(article|main)[\s>]"))
-    chosen = semantic.orderBy(F.xxhash64("page_id", F.lit(11)), "html").limit(at_most)
-    return [row.html for row in chosen.select("html").collect()]
+    """A bounded sample of pages with labels, the same at every run.
+
+    The pages are chosen by their ids; only the chosen ones are sent with their text, one per id.
+    """
+    semantic = pages.filter(F.col("html").rlike(r"<(article|main)[\s>]") & F.col("page_id").isNotNull())
+    places = semantic.select("page_id").distinct().orderBy(F.xxhash64("page_id", F.lit(11)), "page_id")
+    chosen = [row.page_id for row in places.limit(at_most).collect()]
+    found = semantic.filter(F.col("page_id").isin(chosen)).groupBy("page_id").agg(F.min("html").alias("html"))
+    texts = {row.page_id: row.html for row in found.collect()}
+    return [texts[key] for key in chosen]
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:
