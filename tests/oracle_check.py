@@ -22,7 +22,7 @@ TABLES = (
 ).split()
 TYPES = {
     "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
-    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT",
+    "date": "DATE", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "boolean": "BOOLEAN",
 }
 
 
