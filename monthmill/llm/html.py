@@ -15,7 +15,7 @@ same sample, so the model cannot rest on the tag alone. Node scores are fitted b
 tables by counting (piecewise training).
 
 Edge cases: a null or empty html, or one without text, gives an empty text; unclosed elements
-are closed as browsers do; repeated rows are extracted each; a missing end of a comment or
+are closed as browsers do (a head also at the first thing that may not stand in it); formulas are text; repeated rows are extracted each; a missing end of a comment or
 script drops the rest; without a single labelled page the weights that the package
 carries are used (``PRIOR``); pages are read whole, whatever their length; an empty table gives an empty result; extra columns are ignored.
 """
@@ -50,8 +50,13 @@ BLOCK_TAGS = set(
 )
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is never text of the page.
-SILENT_TAGS = set("script style template noscript iframe svg math object textarea select button title head canvas audio video".split())
-RAW_TAGS = {"script", "style", "textarea", "title", "iframe", "noscript", "template"}
+SILENT_TAGS = set("script style template noscript noframes iframe svg object textarea select button title head canvas audio video".split())
+RAW_TAGS = {"script", "style", "textarea", "title", "iframe", "noscript", "noframes", "template"}
+#: What may stand in a head. Any other start tag, or a text, ends a head that is still open.
+HEAD_TAGS = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: End tags that end it too; others are passed over there.
+HEAD_ENDS = {"body", "html", "br"}
+HTML_SPACE = " \t\n\f\r"
 #: A start tag that ends an open element of these kinds, up to the border elements.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
@@ -126,16 +131,27 @@ def parse(html: str) -> list[Node]:
             if stack[k][0] in borders:
                 return
 
+    def leave_head() -> None:
+        for k in range(len(stack) - 1, 0, -1):
+            if stack[k][0] == "head":
+                close(k)
+                return
+            if stack[k][0] in SILENT_TAGS:
+                return
+
     at = 0
     while at < len(html):
         begin = html.find("<", at)
         found = TOKEN.match(html, begin) if begin >= 0 else None
         until = len(html) if begin < 0 else begin if found else begin + 1
-        if until > at and not silent:
+        if until > at:
             text = unescape(html[at:until])
-            parts.append(text)
-            if links:
-                counts[1] += len(text.strip())
+            if silent and text.strip(HTML_SPACE):
+                leave_head()
+            if not silent:
+                parts.append(text)
+                if links:
+                    counts[1] += len(text.strip())
         at = until
         if not found:
             continue
@@ -143,7 +159,10 @@ def parse(html: str) -> list[Node]:
         tag = (found[2] or found[5] or "").lower()
         if not tag:
             continue
-        if found[1] or found[4]:
+        ends = bool(found[1] or found[4])
+        if silent and (tag in HEAD_ENDS if ends else tag not in HEAD_TAGS):
+            leave_head()
+        if ends:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == tag:
                     close(k)

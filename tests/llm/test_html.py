@@ -57,6 +57,33 @@ def test_parsing():
         html.parse(odd)
 
 
+def texts(page):
+    return [n.text for n in html.parse(page) if n.text is not None]
+
+
+@pytest.mark.parametrize("head", [
+    "<head><title>t</title><body>", "<head><meta charset=x><link href=y><style>a</style><script>b</script> <!-- c -->", "<head></body>",
+    "<head><title>t</title></head><body>", "<head>\n<base href=x><bgsound src=y><noscript><p>n</p></noscript><noframes><p>f</p></noframes><body>",
+])
+def test_head_without_end(model, head):
+    page = f"<html>{head}<article><p>{PROSE[0]}</p><p>{PROSE[1]}</p></article><nav><a href=x>Home</a></nav></html>"
+    assert texts(page) == [*PROSE[:2], "Home"]
+    assert html.main_text(page, model) == "\n".join(PROSE[:2])
+
+
+def test_head_ends_at_text_and_other_tags():
+    assert texts("<head><title>t</title>Words of the body.") == ["Words of the body."]
+    assert texts("<head><svg><title>s</title><p>no</p></svg><p>a</p>") == ["a"]
+    assert texts("<p>a</p><head><p>b</p>") == ["a", "b"]
+    assert texts("<head><title>t</title></p> <meta name=x><script>s</script>") == []
+
+
+def test_formulas(model):
+    formula = "<math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math>"
+    page = f"<body><article><p>{PROSE[0]} {formula} is known.</p><p>{PROSE[1]}</p></article></body>"
+    assert html.main_text(page, model) == f"{PROSE[0]} E=mc2 is known.\n{PROSE[1]}"
+
+
 def test_marginals_by_enumeration():
     random = Random(2)
     for _ in range(40):
