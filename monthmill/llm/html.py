@@ -17,7 +17,8 @@ tables by counting (piecewise training).
 Edge cases: a null or empty html, or one without text, gives an empty text; unclosed elements
 are closed as browsers do (a head also at the first thing that may not stand in it); formulas are text; repeated rows are extracted each; a missing end of a comment or
 script drops the rest; without a single labelled page the weights that the package
-carries are used (``PRIOR``); pages are read whole, whatever their length; an empty table gives an empty result; extra columns are ignored.
+carries are used (``PRIOR``); pages are read whole, whatever their length; an empty table gives an empty result; extra columns are ignored;
+attributes other than class, id and role are never read from a page.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 from random import Random
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +83,7 @@ TOKEN = re.compile(
     r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>?""",
     re.DOTALL,
 )
-NAMED = re.compile(r"""\b(class|id|role|data-y)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
@@ -98,8 +100,10 @@ class Node:
     under: frozenset[str] = frozenset()
 
 
-def parse(html: str) -> list[Node]:
-    """The block elements and texts of a page; parents come before their children."""
+def parse(html: str, mark: str | None = None) -> list[Node]:
+    """The block elements and texts of a page; parents come before their children. Only in
+    training is there a ``mark``, the attribute that ``labelled`` writes labels into."""
+    written = re.compile(rf'\s{mark}="([01])"') if mark else None
     nodes = [Node("#page", -1)]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements with their node (or that around)
     parts: list[str] = []
@@ -182,13 +186,13 @@ def parse(html: str) -> list[Node]:
         if tag in BLOCK_TAGS and not silent:
             nodes.append(Node(tag, node))
             node = len(nodes) - 1
-            for name, *values in NAMED.findall(attributes):
+            label = written.search(attributes) if written else None
+            if label:
+                nodes[node].label = int(label[1])
+            for _, *values in NAMED.findall(attributes):
                 value = next((v for v in values if v), "")
-                if name == "data-y":
-                    nodes[node].label = int(value)
-                else:
-                    known = {FAMILY[word] for word in WORD.findall(value.lower()) if word in FAMILY}
-                    nodes[node].features += [f"family={family}" for family in sorted(known)]
+                known = {FAMILY[word] for word in WORD.findall(value.lower()) if word in FAMILY}
+                nodes[node].features += [f"family={family}" for family in sorted(known)]
         stack.append((tag, node))
         silent += tag in SILENT_TAGS
         links += tag == "a"
@@ -298,16 +302,17 @@ OTHERS = (
 )
 
 
-def labelled(html: str) -> str | None:
-    """The page with its labels written at its semantic elements; None if it has none."""
+def labelled(html: str, mark: str) -> str | None:
+    """The page with its labels written at its semantic elements, as values of the attribute
+    ``mark``; None if it has none."""
     if not re.search(r"<(article|main)[\s>]", html):
         return None
-    html = re.sub(rf"<({'|'.join(sorted(CONTENT_TAGS))})(?=[\s>])", r'<\1 data-y="1"', html)
-    html = re.sub(rf"<({'|'.join(sorted(OTHER_TAGS))})(?=[\s>])", r'<\1 data-y="0"', html)
-    return re.sub(r"<body(?=[\s>])", '<body data-y="0"', html)
+    html = re.sub(rf"<({'|'.join(sorted(CONTENT_TAGS))})(?=[\s>])", rf'<\1 {mark}="1"', html)
+    html = re.sub(rf"<({'|'.join(sorted(OTHER_TAGS))})(?=[\s>])", rf'<\1 {mark}="0"', html)
+    return re.sub(r"<body(?=[\s>])", f'<body {mark}="0"', html)
 
 
-def variants(html: str, prose: list[str], random: Random) -> list[str]:
+def variants(html: str, prose: list[str], random: Random, mark: str) -> list[str]:
     """A labelled page as it is, and with containers renamed and furniture added."""
     out = [html]
     for _ in range(5):
@@ -321,9 +326,9 @@ def variants(html: str, prose: list[str], random: Random) -> list[str]:
             links = "<ul>" + "".join(f'<li><a href="/">{random.choice(SHORT)}</a></li>' for _ in range(4)) + "</ul>"
             made = random.choice(OTHERS).format(
                 links=links, short=random.choice(SHORT), prose=" ".join(random.choice(prose).split()[:40]))
-            return re.sub(r"^<(\w+)", r'<\1 data-y="0"', made)
+            return re.sub(r"^<(\w+)", rf'<\1 {mark}="0"', made)
 
-        start = re.search(r'<(?:article|main|div class="[^"]*") data-y="1"', page)
+        start = re.search(rf'<(?:article|main|div class="[^"]*") {mark}="1"', page)
         if start:
             page = page[: start.start()] + furniture() + furniture() + page[start.start() :]
         inside = page.rfind("</p>")
@@ -356,10 +361,11 @@ def spread_labels(nodes: list[Node]) -> list[int]:
 def train(pages: list[str], seed: int = 3, steps: int = 250) -> Model:
     """Fit the model to pages that have labels."""
     random = Random(seed)
-    sources = [page for page in map(labelled, pages) if page]
-    prose = [node.text for page in sources[:50] for node in parse(page)
+    mark = f"data-{uuid4().hex}"  # a name of this run, which no page has; no result depends on it
+    sources = [page for page in (labelled(html, mark) for html in pages) if page]
+    prose = [node.text for page in sources[:50] for node in parse(page, mark)
              if node.text is not None and len(node.text) > 80] or ["Text."]
-    trees = [parse(page) for source in sources for page in variants(source, prose, random)]
+    trees = [parse(page, mark) for source in sources for page in variants(source, prose, random, mark)]
     if not trees:
         return PRIOR
     names: dict[str, int] = {}

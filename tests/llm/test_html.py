@@ -84,6 +84,16 @@ def test_formulas(model):
     assert html.main_text(page, model) == f"{PROSE[0]} E=mc2 is known.\n{PROSE[1]}"
 
 
+@pytest.mark.parametrize("own", ['data-x="1.5" data-y="2.5"', 'data-y="10px"', 'data-y=""', "data-y", 'data-y="7"', "DATA-Y='0'", "data-y=1"])
+def test_data_attributes_of_a_page(model, own):
+    shape = "<body><article{0}><p{0}>{1}</p><p>{2}</p></article><footer{0}>Imprint</footer></body>"
+    page, plain = shape.format(" " + own, *PROSE), shape.format("", *PROSE)
+    assert html.main_text(page, model) == html.main_text(plain, model) == "\n".join(PROSE[:2])
+    assert all(node.label is None for node in html.parse(page))
+    # nor are they labels in training
+    assert html.train([page] * 3) == html.train([plain] * 3)
+
+
 def test_marginals_by_enumeration():
     random = Random(2)
     for _ in range(40):
