@@ -16,10 +16,12 @@ Documents are always taken whole.
 Scale: no window spans a source. Ranks are cut into buckets of about ``BUCKET_ROWS`` documents;
 a source is decided by the running words of its buckets, and only the bucket at the border is
 sorted and gathered. A source with a third of all rows thus has many small buckets. Draws are hashes of
-seed and doc_id, so reruns and repeated tasks agree.
+seed and doc_id, so reruns and repeated tasks agree. Rows that share source and doc_id are drawn by a
+digest of all their columns too, and rows equal in all columns by their running number as well
+(``tie_draws``), so that many rows of one doc_id fill many buckets.
 
 Edge cases: null texts have size 0; documents of size 0 are never taken; repeated rows are documents of their
-own (with the same draw); a null doc_id is drawn like a value of its own; an empty table gives an empty result; other columns are carried through, helper columns are named ``_m_...``.
+own, each with its draw; a null doc_id is drawn like a value of its own; an empty table gives an empty result; other columns are carried through, helper columns are named ``_m_...``.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ MAX_COPIES = 3
 #: Documents of at least so many words have so much weight inside their source.
 CLASSES = ((0, 2), (100, 3), (1000, 4))
 BUCKET_ROWS = 1000
+#: Equal rows are numbered in runs of so many neighbouring rows of the table.
+RUN_ROWS = 8192
+#: What a chance may be off by rounding.
+NOTHING = 1e-12
 
 
 def draw(key: Column, seed: int) -> Column:
@@ -44,6 +50,46 @@ def draw(key: Column, seed: int) -> Column:
     return (digits + 0.5) / F.lit(float(2**52))
 
 
+def digest(df: DataFrame) -> Column:
+    """A hash of all columns of a row; maps and variants, which have no hash, as JSON."""
+    plain = [
+        F.to_json(F.struct(f"`{name}`")) if "map<" in kind or "variant" in kind else F.col(f"`{name}`")
+        for name, kind in df.dtypes
+    ]
+    return F.xxhash64(*plain, F.concat(*[F.col(f"`{name}`").isNull().cast("string") for name in df.columns]))
+
+
+def tie_draws(base: DataFrame, space: Workspace, total: int, seed: int) -> DataFrame:
+    """``base`` with a draw of its own, ``_m_u``, for every row that shares source and key with others.
+
+    Rows equal in all columns are numbered: by the rows of earlier runs, then inside their run.
+    Which of them has which number changes nothing, as they are equal.
+    """
+    same = ["_m_group", "_m_name"]
+    ties = base.groupBy(*same).agg(F.count(F.lit(1)).alias("_m_equal")).filter(F.col("_m_equal") > 1)
+    ties = space.write(ties, "mix-ties")
+    if ties.isEmpty():
+        return base
+    rows = base.select("_m_row", *same, "_m_digest")
+    tied = spread_lookup(rows, ties, same, "_m_equal", total).filter(F.col("_m_equal").isNotNull())
+    run = ["_m_tie", "_m_run"]
+    tied = tied.select(
+        "_m_row", F.sha2(F.concat_ws(":", "_m_group", "_m_name", "_m_digest"), 256).alias("_m_tie"),
+        F.expr(f"_m_row div {RUN_ROWS}").alias("_m_run"),
+    )
+    inside = Window.partitionBy(*run).orderBy("_m_row")
+    tied = space.write(tied.withColumn("_m_number", F.row_number().over(inside)), "mix-tied")
+    # one row per run, of which a table has few; a window over all runs of equal rows stays small
+    earlier = Window.partitionBy("_m_tie").orderBy("_m_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = tied.groupBy(*run).agg(F.count(F.lit(1)).alias("_m_in_run"))
+    runs = runs.withColumn("_m_earlier", F.coalesce(F.sum("_m_in_run").over(earlier), F.lit(0)))
+    numbers = tied.join(runs, run).select("_m_row", (F.col("_m_number") + F.col("_m_earlier")).alias("_m_number"))
+    drawn = base.join(numbers, "_m_row", "left")
+    own = draw(F.concat_ws(":", "_m_name", "_m_digest", "_m_number"), seed)
+    drawn = drawn.withColumn("_m_u", F.when(F.col("_m_number").isNull(), F.col("_m_u")).otherwise(own))
+    return space.write(drawn.drop("_m_number"), "mix-drawn")
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """Targets for a table with one row per source: ``_m_source`` and ``_m_source_size``."""
     ranked = global_rank(sizes, [F.col("_m_source").asc_nulls_last()], "_m_rank")
@@ -105,10 +151,11 @@ def bucketed(base: DataFrame, plan: DataFrame, total: int) -> DataFrame:
     order = F.when((chance > 0) & (F.col("_m_size") > 0), odds / (chance / (1 - chance)))
     rows = rows.withColumn("_m_order", order).withColumn("_m_sure", F.get("_m_sure", F.col("_m_class")))
     # odds at the mean chance spread the buckets evenly; any monotone map gives the same result
-    mean = F.greatest(F.col("_m_mean"), F.lit(1e-9))
-    scaled = F.col("_m_order") * mean / F.greatest(1 - mean, F.lit(1e-9))
+    mean = F.greatest(F.col("_m_mean"), F.lit(NOTHING))
+    scaled = F.col("_m_order") * mean / F.greatest(1 - mean, F.lit(NOTHING))
     bucket = F.floor(scaled / (1 + scaled) * F.col("_m_buckets"))
-    return rows.withColumn("_m_bucket", F.least(bucket, F.col("_m_buckets") - 1))
+    # least passes over nulls: decided documents must not fill the last bucket
+    return rows.withColumn("_m_bucket", F.when(bucket.isNotNull(), F.least(bucket, F.col("_m_buckets") - 1)))
 
 
 def decide(
@@ -122,12 +169,17 @@ def decide(
             F.col(key).cast("string").alias("_m_key"),
             word_count(F.col(text)).alias("_m_size"),
             draw(F.col(key), seed).alias("_m_u"),
+            F.monotonically_increasing_id().alias("_m_row"),
+            digest(docs).alias("_m_digest"),
         ).withColumn("_m_class", class_of(F.col("_m_size")))
         # nulls are a source of their own; joins need a value
         .withColumn("_m_group", F.concat(F.when(F.col("_m_source").isNull(), "n").otherwise("s"),
-                                         F.coalesce("_m_source", F.lit("")))),
+                                         F.coalesce("_m_source", F.lit(""))))
+        .withColumn("_m_name", F.concat(F.when(F.col("_m_key").isNull(), "n").otherwise("s"),
+                                        F.coalesce("_m_key", F.lit("")))),
         "mix-base",
     )
+    base = tie_draws(base, space, base.count(), seed).drop("_m_row", "_m_digest", "_m_name")
     per_source = base.groupBy("_m_group").agg(
         F.first("_m_source").alias("_m_source"),
         F.sum("_m_size").alias("_m_source_size"),
@@ -145,6 +197,8 @@ def decide(
     plan = plan.withColumn("_m_copies", F.array(*wanted_copies(words, F.col("_m_target"))))
     for k in range(len(CLASSES)):
         expected = F.least(F.get("_m_copies", k), F.lit(float(MAX_COPIES)))
+        # a whole number but for rounding is one, or all documents would have nearly the same order
+        expected = F.when(F.abs(expected - F.round(expected)) < NOTHING, F.round(expected)).otherwise(expected)
         plan = plan.withColumn(f"_m_sure_{k}", F.floor(expected).cast("bigint"))
         plan = plan.withColumn(f"_m_chance_{k}", expected - F.floor(expected))
     sure = sum((F.col(f"_m_sure_{k}") * words[k] for k in range(len(CLASSES))), F.lit(0))

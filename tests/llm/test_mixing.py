@@ -54,6 +54,38 @@ def test_small_sources_nulls_ties_and_reruns(spark, space):
     assert mixed.count() == sum(r.copies for r in first)
 
 
+@pytest.mark.parametrize("key", [None, 5])
+def test_one_id_on_a_third_of_the_rows(spark, space, monkeypatch, key):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(mixing, "RUN_ROWS", 64)
+    seen, bucketed = [], mixing.bucketed
+    monkeypatch.setattr(mixing, "bucketed", lambda *given: seen.append(bucketed(*given)) or seen[-1])
+    rows = [(k + 10, "w w w", "ab"[k % 2]) for k in range(2000)]
+    rows += [(key, "w w w", "a")] * 500 + [(key, f"v{k} w w", "a") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    first = mixing.mix(docs, space, keep=["doc_id", "source", "text"]).collect()
+    check(docs, first)
+    groups = seen[-1].filter("_m_bucket is not null").groupBy("_m_group", "_m_bucket").count()
+    assert groups.agg({"count": "max"}).first()[0] < 5 * 20
+    shares = {}
+    for r in first:
+        if r.source == "a":
+            shares.setdefault((r.doc_id == key, r.text == "w w w"), []).append(r.copies)
+    shares = [sum(copies) / len(copies) for copies in shares.values()]
+    assert len(shares) == 3 and max(shares) - min(shares) < 0.1
+    # another run takes the same rows, however the table lies
+    line = lambda r: tuple(str(v) for v in r)
+    mixed = mixing.mixed_documents(docs.repartition(2), space).collect()
+    assert sorted(map(line, mixed)) == sorted(line((r.doc_id, r.text, r.source)) for r in first for _ in range(r.copies))
+
+
+def test_digest_of_any_column(spark):
+    rows = [(1, "a", None, {"k": 1}), (1, None, "a", {"k": 1}), (1, "a", None, {"k": 2}), (1, "a", None, {"k": 1})]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, `a.b` string, m map<string, int>")
+    found = [r[0] for r in docs.select(mixing.digest(docs)).collect()]
+    assert found[0] == found[3] and len(set(found)) == 3
+
+
 def test_wanted_copies_differ_by_class(spark, space):
     docs = spark.createDataFrame(
         [(k, "w " * (20 if k % 2 else 300), "ab"[k % 4 // 2]) for k in range(800)], "doc_id bigint, text string, source string"
