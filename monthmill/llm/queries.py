@@ -46,7 +46,7 @@ def warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     importable(spark)
     space = Workspace(spark, "warc")
     folder = space.path("archive")
-    warc.write_archive(tables(spark, sf_dir, "pages"), folder, space)
+    warc.write_archive(tables(spark, sf_dir, "pages"), folder, space, warc_files=True)
     return warc.record_index(warc.read_archive(spark, folder, space))
 
 

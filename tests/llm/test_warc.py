@@ -1,12 +1,13 @@
 import gzip
 import hashlib
+import re
 from collections import defaultdict
 from pathlib import Path
 
 import pytest
 import zstandard
 
-from monthmill.llm import warc
+from monthmill.llm import queries, warc
 
 
 def pages_of(spark, *rows):
@@ -41,6 +42,16 @@ def test_round_trip_and_revisits(spark, space, given):
     assert payloads.count() == payloads.select("sha256").distinct().count() == len(by)
 
 
+def test_registered_query_writes_records(spark, monkeypatch):
+    spaces, workspace = [], queries.Workspace
+    monkeypatch.setattr(queries, "Workspace", lambda *given: spaces.append(workspace(*given)) or spaces[-1])
+    rows = queries.warc_archive(spark, "/root/testdata/sf0.001").count()
+    found = list(Path(spaces[0].folder.removeprefix("file:")).glob("*-archive/warc/*.gz"))
+    raw = b"".join(gzip.open(f).read() for f in found)
+    assert len(re.findall(rb"(?m)^WARC/1\.1\r$", raw)) == rows > 0
+    spaces[0].close()
+
+
 def test_repeated_rows_and_empty_table(spark, space):
     body = "x" * 2000
     folder = space.path("archive")
