@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc
+from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc, wordtable
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -74,9 +74,16 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(pages, html.train(html.training_pages(pages)))
 
 
+def bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    docs = tables(spark, sf_dir, "documents").select("doc_id", "text")
+    return wordtable.digests(docs, public_tokenizers.path(TOKENIZER), Workspace(spark, "words"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
+    "op11_bpe_words": bpe_words,
     "op2_warc_archive": warc_archive,
     "op3_minhash_near_dedup": minhash_near_dedup,
     "op4_quality_rules": quality_rules,
