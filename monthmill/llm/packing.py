@@ -10,7 +10,8 @@ genetic algorithm on several islands, one task each: an individual is a set of b
 injects whole well-filled bins of one parent into the other, removes the bins that hold the same
 pieces a second time, and places the displaced pieces best-fit, the longest first. After each
 epoch the islands write their best individual to a shared table and receive that of their
-neighbour in a ring. An island stops when it meets a lower bound for the number of bins. The best
+neighbour in a ring. Islands start from best fit in random orders and stop when they meet a lower
+bound for the number of bins; best fit over the longest pieces first joins only where they miss it. The best
 island gives the block's bins, whose slots are matched to pieces by length and rank.
 
 Scale: pieces of a block are bounded, so no task grows with the data, whatever lengths are
@@ -30,10 +31,10 @@ from random import Random
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.tokens import encoder, groups
+from monthmill.llm.wordtable import encode
 from monthmill.workspace import Workspace
 
 CAPACITY = 2048
@@ -49,21 +50,24 @@ WELL_FILLED = 0.98
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    space: Workspace | None = None,
+) -> DataFrame:
     """The pieces of every document: where they start, their length and a checksum of their ids."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
         for batch in batches:
-            keys = iter(batch.column("doc_id").to_pylist())
             out: list[tuple] = []
-            for group in groups(batch.column("text").to_pylist()):
-                for ids in encode(group):
-                    key, ids = next(keys), ids + end
-                    for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        out.append((key, number, at // 4, len(part) // 4, zlib.crc32(part)))
+            for key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                ids += end
+                for number, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at : at + 4 * capacity]
+                    out.append((key, number, at // 4, len(part) // 4, zlib.crc32(part)))
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
@@ -71,10 +75,13 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
                 [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)], names=names
             )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    encoded = encode(docs, path, space or Workspace(docs.sparkSession, "pieces"))
+    return encoded.mapInArrow(cut, PIECES)
 
 
-def place(bins: list[list[int]], loose: list[int], lengths: list[int], capacity: int) -> list[list[int]]:
+def place(
+    bins: list[list[int]], loose: list[int], lengths: list[int], capacity: int, longest_first: bool = True
+) -> list[list[int]]:
     """Best fit: each loose piece, the longest first, into the fullest bin that still takes it.
 
     Bins are filed by their free room; the rooms in use are the set bits of one number, so the
@@ -85,7 +92,7 @@ def place(bins: list[list[int]], loose: list[int], lengths: list[int], capacity:
         room = capacity - sum([lengths[i] for i in content])
         filed[room].append(number)
         used |= 1 << room
-    for i in sorted(loose, key=lengths.__getitem__, reverse=True):
+    for i in sorted(loose, key=lengths.__getitem__, reverse=True) if longest_first else loose:
         length = lengths[i]
         fitting = used >> length
         if fitting:
@@ -153,30 +160,33 @@ def evolve(
     population: int = POPULATION,
     generations: int = GENERATIONS,
 ) -> list[list[int]]:
-    """The best set of bins that one island finds in one epoch."""
+    """The best set of bins that one island finds in one epoch.
+
+    The first parents are migrants, or else best fit over pieces in a random order. Only where
+    their descendants miss the lower bound does best fit over the longest pieces join them, and
+    another round of generations follows."""
     random = Random(seed)
     order = list(range(len(lengths)))
     goal = lower_bound(lengths, capacity)
     people = [[list(content) for content in bins] for bins in migrants]
-    people = people or [place([], order, lengths, capacity)]
 
     def score(bins: list[list[int]]) -> tuple[int, float]:
         return fitness(bins, lengths, capacity)
 
-    while len(people) < population and len(people[0]) > goal:
-        # further parents: a random part is packed first, the rest fitted in
-        part = set(random.sample(order, len(order) // 2))
-        start = place([], [i for i in order if i in part], lengths, capacity)
-        people.append(place(start, [i for i in order if i not in part], lengths, capacity))
-    people.sort(key=score, reverse=True)
-    for _ in range(generations):
-        if len(people[0]) <= goal:
-            break
-        children = []
-        for _ in range(len(people)):
-            host, donor = random.sample(people, 2) if len(people) > 1 else (people[0], people[0])
-            children.append(crossover(host, donor, lengths, capacity, random))
-        people = sorted(people + children, key=score, reverse=True)[: len(people)]
+    while len(people) < population and not (people and len(people[0]) <= goal):
+        people.append(place([], random.sample(order, len(order)), lengths, capacity, longest_first=False))
+    for late in (None, order):
+        if late and len(people[0]) > goal:
+            people.append(place([], late, lengths, capacity))
+        people.sort(key=score, reverse=True)
+        for _ in range(generations):
+            if len(people[0]) <= goal:
+                break
+            children = []
+            for _ in range(len(people)):
+                host, donor = random.sample(people, 2) if len(people) > 1 else (people[0], people[0])
+                children.append(crossover(host, donor, lengths, capacity, random))
+            people = sorted(people + children, key=score, reverse=True)[:population]
     return people[0]
 
 
@@ -203,15 +213,18 @@ ELITE = "block bigint, island int, bins int, score double, members binary, ends
 SLOT = "block bigint, length bigint, place bigint, bin bigint, offset bigint"
 
 
+def block_hash(turn: Column) -> Column:
+    """Deals pieces over blocks. Repeated rows differ by their position ``turn`` in the table."""
+    return F.xxhash64("doc_id", "piece", "start", "ids_crc32", turn)
+
+
 def pack(parts: DataFrame, space: Workspace, capacity: int = CAPACITY, block_pieces: int = BLOCK_PIECES,
          islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
     """``parts`` (a scan of pieces) with ``sequence_id`` and ``offset``."""
     blocks = parts.count() // block_pieces + 1
-    key = F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(-1)), "piece", "start", "ids_crc32", F.lit(5))
-    # repeated rows have one hash; their position deals them over blocks
-    turn = F.monotonically_increasing_id()
+    key = block_hash(F.monotonically_increasing_id())
     dealt = space.write(
-        parts.withColumn("_p_block", F.when(F.col("length") < capacity, F.pmod(key + turn, F.lit(blocks)))),
+        parts.withColumn("_p_block", F.when(F.col("length") < capacity, F.pmod(key, F.lit(blocks)))),
         "pack-dealt",
     )
     open_parts = dealt.filter(F.col("_p_block").isNotNull())

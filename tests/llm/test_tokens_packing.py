@@ -5,6 +5,7 @@ from random import Random
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from monthmill.llm import packing, tokens
@@ -129,10 +130,45 @@ def test_evolution_against_the_optimum():
     assert max(missed) <= 1 and sum(missed) <= 2
 
 
-def test_crossover_improves_what_first_packing_misses():
-    # best fit alone needs one bin more here
-    lengths = sorted([44, 24, 24, 22, 21, 17, 8, 8, 6, 6] * 6, reverse=True)
-    start = packing.place([], list(range(len(lengths))), lengths, 61)
-    found = packing.evolve(lengths, [start], 1, capacity=61, generations=30, population=8)
-    assert len(found) <= len(start)
-    assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+def test_crossover_saves_what_best_fit_wastes(monkeypatch):
+    random, saved = Random(3), 0
+    for trial in range(20):
+        # bins of 61 that are full, cut into pieces that best fit does not put together again
+        lengths = sorted((x for _ in range(12) for x in _cut(61, random)), reverse=True)
+        start = packing.place([], list(range(len(lengths))), lengths, 61)
+        found = packing.evolve(lengths, [], trial, capacity=61, generations=30, population=8)
+        assert len(found) <= len(start)
+        assert sorted(i for b in found for i in b) == list(range(len(lengths)))
+        saved += len(start) - len(found)
+    assert saved > 0
+    # nothing is saved without it
+    monkeypatch.setattr(packing, "crossover", lambda host, donor, lengths, capacity, random: host)
+    random = Random(3)
+    for trial in range(20):
+        lengths = sorted((x for _ in range(12) for x in _cut(61, random)), reverse=True)
+        start = packing.place([], list(range(len(lengths))), lengths, 61)
+        assert len(packing.evolve(lengths, [], trial, capacity=61, generations=3, population=8)) == len(start)
+
+
+def _cut(whole, random):
+    first, second = sorted(random.sample(range(8, whole - 8), 2))
+    return [x for x in (first, second - first, whole - second) if x]
+
+
+def test_given_pieces_are_packed_through_generations(given, monkeypatch):
+    """The first parents miss the bound on the given texts, so crossover and migration take part."""
+    parts = packing.pieces(given("documents").select("doc_id", "text"), PATH)
+    lengths = sorted((r.length for r in parts.collect() if r.length < 2048), reverse=True)
+    calls = []
+    real = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: calls.append(1) or real(*a))
+    found = packing.evolve(lengths, [], 1)
+    assert calls and len(found) <= len(packing.place([], list(range(len(lengths))), lengths, 2048))
+
+
+def test_a_hash_next_to_the_largest_number_does_not_overflow(spark):
+    parts = spark.range(200_000).selectExpr(
+        "id as doc_id", "0 as piece", "0L as start", "1L as length", "0L as ids_crc32")
+    turns = F.lit(2**63 - 1) - F.col("doc_id")
+    blocks = parts.select(F.pmod(packing.block_hash(turns), F.lit(7)).alias("b")).groupBy("b").count().collect()
+    assert len(blocks) == 7 and min(r["count"] for r in blocks) > 20_000
