@@ -13,9 +13,9 @@ blocks of about ``BLOCK_BYTES``. Three steps:
 3. every block sends its documents as positions in its list; both meet by the block's name and
    the ids are joined back by position.
 
-A block's name is a digest of its word list, so blocks that meet have the same list whichever task
-made them; if the documents gave other blocks when they were read again, the job stops
-instead of joining what does not belong together. Tables that are not plain scans are written first.
+A block's name is its place in the scan with a digest of its word list, so what meets under a name
+belongs together; if the documents came in another order when they were read again, the job stops.
+Tables that are not plain scans are written first, because only a scan keeps its order.
 
 ``decode`` joins ids with the table of pieces, one row per id of the tokenizer, whose size does
 not depend on the data. Tokenizers that have no decoder put one blank between pieces; for others
@@ -42,6 +42,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +50,9 @@ from monthmill.llm.tokens import drops_spaces, encoder, groups
 from monthmill.staging import is_scan
 from monthmill.workspace import Workspace
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
+#: So many words are hashed at once.
+HASHED = 50_000
 #: Marks that do not change the bucket of a word: words that differ in them share most of their ids.
 MARKS = ".,;:!?|"
 
@@ -83,7 +86,7 @@ def gathered(firsts: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.
 
 
 def blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """Keys and texts (null: empty) of consecutive rows with about ``block_bytes`` of text."""
+    """Keys and texts (null: empty) of consecutive rows of a task with about ``block_bytes`` of text."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
@@ -108,15 +111,21 @@ def _joined(held: list[pa.RecordBatch]) -> tuple[pa.Array, pa.Array]:
 
 def hashed(words: pa.Array) -> np.ndarray:
     """A number per word that depends on its bytes alone."""
-    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
-    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]].astype(np.uint64)
-    lengths = np.diff(offsets)
-    place = np.arange(len(raw)) - np.repeat(offsets[:-1] - offsets[0], lengths)
-    # Fibonacci hashing of each byte with its place; sums of a run are differences of running sums
-    mixed = (raw + np.uint64(257) * (place.astype(np.uint64) + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+    parts = [_hashed(words.slice(start, HASHED)) for start in range(0, len(words), HASHED)]
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
+
+
+def _hashed(words: pa.Array) -> np.ndarray:
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    place = (np.arange(len(raw)) - np.repeat(offsets[:-1], np.diff(offsets))).astype(np.uint64)
+    # each byte is mixed with its place; the sum over a word is a difference of running sums
+    mixed = (raw + np.uint64(257) * (place + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(29)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * np.uint64(0xBF58476D1CE4E5B9))])
-    found = total[offsets[1:] - offsets[0]] - total[offsets[:-1] - offsets[0]]
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed)])
+    found = total[offsets[1:]] - total[offsets[:-1]]
     return found ^ (found >> np.uint64(32))
 
 
@@ -144,18 +153,19 @@ class Block:
 
     def __init__(self, texts: pa.Array, buckets: int):
         lists = pc.ascii_split_whitespace(texts)
-        words = pc.list_flatten(lists)
-        real = pc.not_equal(words, "")
-        owner = pc.list_parent_indices(lists).filter(real).to_numpy(zero_copy_only=False)
+        # blanks at the ends of a text leave empty words there
+        real = pc.not_equal(pc.list_flatten(lists), "")
+        before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
         #: Words of each text.
-        self.counts = np.bincount(owner, minlength=len(texts))
-        coded = words.filter(real).dictionary_encode()
+        self.counts = np.diff(before[lists.offsets.to_numpy()])
+        coded = pc.list_flatten(lists).filter(real).dictionary_encode()
+        del lists, real, before
         distinct = coded.dictionary
         core = pc.ascii_rtrim(pc.ascii_lower(distinct), characters=MARKS)
         home = (hashed(core) % np.uint64(buckets)).astype(np.int64) if len(core) else np.zeros(0, np.int64)
         order = np.argsort(home, kind="stable")
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
         #: Positions of all words, text after text, in the list of distinct words.
         self.positions = place[coded.indices.to_numpy(zero_copy_only=False)]
         ends = np.cumsum(np.bincount(home, minlength=1)).tolist()
@@ -166,10 +176,14 @@ class Block:
             for bucket, (begin, end) in enumerate(zip([0, *ends], ends, strict=False))
             if end > begin
         }
-        name = hashlib.blake2b(digest_size=16)
+        self.digest = hashlib.blake2b(digest_size=16)
         for bucket, payload in self.lists.items():
-            name.update(b"%d %d " % (bucket, len(payload)) + payload)
-        self.name = name.digest()
+            self.digest.update(b"%d %d " % (bucket, len(payload)) + payload)
+
+    def name(self, number: int) -> bytes:
+        """For block ``number`` of the running task."""
+        task = TaskContext.get()
+        return b"%d %d " % (task.partitionId() if task else 0, number) + self.digest.digest()
 
 
 @cache
@@ -185,8 +199,12 @@ def encoded_bucket(bucket: pa.Table, path: str) -> pa.Table:
     ends = np.cumsum([len(words) for words in spoken])
     coded = np.split(told.indices.to_numpy(zero_copy_only=False), ends[:-1])
     ids: list[bytes] = []
+    coder = encoder(path)
     for group in groups(told.dictionary.to_pylist()):
-        ids += encoder(path).encode(group)
+        ids += coder.encode(group)
+    # another bucket has other words
+    coder.known.clear()
+    coder.words.clear()
     lengths = np.fromiter((len(one) // 4 for one in ids), np.int64, len(ids))
     firsts, values = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(ids), "<u4")
     return pa.table({
@@ -214,11 +232,11 @@ def encode(
     buckets = total // block_bytes + 1
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in blocks(batches, block_bytes):
+        for number, (_, texts) in enumerate(blocks(batches, block_bytes)):
             block = Block(texts, buckets)
             if block.lists:
                 yield pa.record_batch({
-                    "block": pa.array([block.name] * len(block.lists), pa.binary()),
+                    "block": pa.array([block.name(number)] * len(block.lists), pa.binary()),
                     "bucket": pa.array(list(block.lists), pa.int64()),
                     "words": pa.array(list(block.lists.values()), pa.binary()),
                 })
@@ -227,53 +245,42 @@ def encode(
         return encoded_bucket(bucket, path)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in blocks(batches, block_bytes):
+        for number, (keys, texts) in enumerate(blocks(batches, block_bytes)):
             block = Block(texts, buckets)
             yield pa.record_batch({
-                "block": pa.array([block.name], pa.binary()),
+                "block": pa.array([block.name(number)], pa.binary()),
                 "lists": pa.array([len(block.lists)], pa.int64()),
                 "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
                 "counts": pa.array([squeezed(block.counts)], pa.binary()),
                 "positions": pa.array([squeezed(block.positions)], pa.binary()),
             })
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(len(batch)):
-                one = batch.slice(row, 1)
-                lists = sorted(one.column("lists_ids").to_pylist()[0] or [], key=lambda part: part["bucket"])
-                if len(lists) != one.column("lists")[0].as_py():
-                    raise RuntimeError("the documents were not read in the same order again")
-                nothing = np.zeros(0, np.int64)
-                lengths = np.concatenate([nothing, *[numbers(part["lengths"]) for part in lists]]).astype(np.int64)
-                values = np.concatenate([np.zeros(0, "<u4"), *[numbers(part["ids"]) for part in lists]])
-                positions = numbers(one.column("positions")[0].as_py())
-                counts = numbers(one.column("counts")[0].as_py()).astype(np.int64)
-                taken = lengths[positions]
-                found = gathered((np.cumsum(lengths) - lengths)[positions], taken, values).astype("<u4")
-                ends = 4 * np.concatenate([[0], np.cumsum(taken)])[np.cumsum(counts)]
-                raw = memoryview(found.tobytes())
-                parts, begin = [], 0
-                for end in ends.tolist():
-                    parts.append(bytes(raw[begin:end]))
-                    begin = end
-                yield pa.record_batch({"key": one.column("keys").flatten(), "ids": pa.array(parts, pa.binary())})
-
-    table = rows.mapInArrow(listed, "block binary, bucket bigint, words binary")
+    def joined(block: pa.Table, lists: pa.Table) -> pa.Table:
+        """The ids of one block's texts: every position finds the ids of its word."""
+        if block.num_rows != 1 or block.column("lists")[0].as_py() != lists.num_rows:
+            raise RuntimeError("the documents were not read in the same order again")
+        lists = lists.sort_by("bucket")
+        lengths = np.concatenate([np.zeros(0, "<u4"), *map(numbers, lists.column("lengths").to_pylist())])
+        values = np.concatenate([np.zeros(0, "<u4"), *map(numbers, lists.column("ids").to_pylist())])
+        positions = numbers(block.column("positions")[0].as_py())
+        counts = numbers(block.column("counts")[0].as_py())
+        taken = lengths[positions].astype(np.int64)
+        firsts = (np.cumsum(lengths, dtype=np.int64) - lengths)[positions]
+        raw = gathered(firsts, taken, values).astype("<u4").tobytes()
+        ends = 4 * np.concatenate([[0], np.cumsum(taken)])[np.cumsum(counts, dtype=np.int64)]
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        ids = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(raw)])
+        return pa.table({"key": block.column("keys").combine_chunks().flatten(), "ids": ids})
+
     known = (
-        table.groupBy("bucket")
+        rows.mapInArrow(listed, "block binary, bucket bigint, words binary")
+        .groupBy("bucket")
         .applyInArrow(learned, "block binary, bucket bigint, lengths binary, ids binary")
-        .groupBy("block")
-        # blocks with the same words have one name and sent the same list more than once
-        .agg(F.collect_set(F.struct("bucket", "lengths", "ids")).alias("lists_ids"))
     )
     schema = f"block binary, lists bigint, keys array<{kind}>, counts binary, positions binary"
-    return (
-        rows.mapInArrow(placed, schema)
-        .join(known.hint("merge"), "block", "left")
-        .mapInArrow(joined, f"key {kind}, ids binary")
-        .withColumnRenamed("key", key)
-    )
+    texts = rows.mapInArrow(placed, schema)
+    found = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(joined, f"key {kind}, ids binary")
+    return found.withColumnRenamed("key", key)
 
 
 @cache

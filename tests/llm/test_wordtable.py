@@ -57,11 +57,13 @@ def test_a_bucket_encodes_each_distinct_word_once(monkeypatch):
     """However many blocks list a word, it reaches the library once."""
     rows = pa.RecordBatch.from_pydict({"k": list(range(50)), "t": [f"alpha beta gamma{k % 7} alpha" for k in range(50)]})
     cut = [wordtable.Block(texts, 3) for _, texts in wordtable.blocks(iter([rows]), 60)]
-    entries = [(b.name, bucket, words) for b in cut for bucket, words in b.lists.items()]
+    entries = [(b.name(k), bucket, words) for k, b in enumerate(cut) for bucket, words in b.lists.items()]
     spoken = []
     real = wordtable.encoder(PATH)
 
     class Logged:
+        known, words = real.known, real.words
+
         def encode(self, words):
             spoken.extend(words)
             return real.encode(words)
