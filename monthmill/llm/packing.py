@@ -25,7 +25,6 @@ packing; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 from random import Random
 
 import numpy as np
@@ -60,23 +59,22 @@ def pieces(
     """The pieces of every document: where they start, their length and a checksum of their ids."""
     end = np.asarray([end_id], dtype="<u4").tobytes()
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[tuple] = []
-            for key, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                ids += end
-                for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    part = ids[at : at + 4 * capacity]
-                    out.append((key, number, at // 4, len(part) // 4, zlib.crc32(part)))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
-            yield pa.record_batch(
-                [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)], names=names
-            )
-
-    encoded = encode(docs, path, space or Workspace(docs.sparkSession, "pieces"))
-    return encoded.mapInArrow(cut, PIECES)
+    def cut(block: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        for key, ids in zip(block.column("key").to_pylist(), block.column("ids").to_pylist(), strict=True):
+            ids += end
+            for number, at in enumerate(range(0, len(ids), 4 * capacity)):
+                part = ids[at : at + 4 * capacity]
+                out.append((key, number, at // 4, len(part) // 4, zlib.crc32(part)))
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
+        return pa.table(
+            [pa.array(values, kind) for values, kind in zip(columns, types, strict=True)], names=names
+        )
+
+    space = space or Workspace(docs.sparkSession, "pieces")
+    return encode(docs, path, space, finish=cut, schema=PIECES)
 
 
 def place(

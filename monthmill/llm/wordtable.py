@@ -36,7 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -222,8 +222,13 @@ def encode(
     key: str = "doc_id",
     text: str = "text",
     block_bytes: int = BLOCK_BYTES,
+    finish: Callable[[pa.Table], pa.Table] | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """``key`` and ``ids`` (little-endian unsigned 32-bit integers) of every document."""
+    """``key`` and ``ids`` (little-endian unsigned 32-bit integers) of every document.
+
+    ``finish`` may turn the documents of a block, a table with the columns ``key`` and ``ids``, into
+    rows of ``schema`` in the task that has their ids, so that the ids need not leave it."""
     check_tokenizer(path)
     named = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
     rows = named if is_scan(named) else space.write(named, "word-docs")
@@ -277,10 +282,13 @@ def encode(
         .groupBy("bucket")
         .applyInArrow(learned, "block binary, bucket bigint, lengths binary, ids binary")
     )
-    schema = f"block binary, lists bigint, keys array<{kind}>, counts binary, positions binary"
-    texts = rows.mapInArrow(placed, schema)
-    found = texts.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(joined, f"key {kind}, ids binary")
-    return found.withColumnRenamed("key", key)
+    texts = rows.mapInArrow(
+        placed, f"block binary, lists bigint, keys array<{kind}>, counts binary, positions binary"
+    )
+    met = texts.groupBy("block").cogroup(known.groupBy("block"))
+    if finish:
+        return met.applyInArrow(lambda block, lists: finish(joined(block, lists)), schema)
+    return met.applyInArrow(joined, f"key {kind}, ids binary").withColumnRenamed("key", key)
 
 
 @cache
@@ -352,10 +360,21 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", name: str = "decoded
 def digests(docs: DataFrame, path: str, space: Workspace, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Every document encoded and decoded again: ``doc_id``, ``n_tokens``, ``ids_sha256`` of the ids
     as little-endian unsigned 32-bit integers and ``decoded_sha256`` of the decoded text in UTF-8."""
-    found = decode(encode(docs, path, space, block_bytes=block_bytes), path)
-    return found.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+
+    def finish(block: pa.Table) -> pa.Table:
+        ids = block.column("ids").combine_chunks()
+        texts, start = [], 0
+        for end in _ends(pc.binary_length(ids).to_numpy(zero_copy_only=False)):
+            found = texts_of(ids.slice(start, end - start).to_pylist(), path)
+            texts += [hashlib.sha256(text.as_buffer()).hexdigest() for text in found]
+            start = end
+        return pa.table({
+            "doc_id": block.column("key"),
+            "n_tokens": pc.divide(pc.binary_length(ids), 4).cast(pa.int64()),
+            "ids_sha256": pa.array([hashlib.sha256(one.as_buffer()).hexdigest() for one in ids], pa.string()),
+            "decoded_sha256": pa.array(texts, pa.string()),
+        })
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    return encode(docs, path, space, block_bytes=block_bytes, finish=finish, schema=schema)
