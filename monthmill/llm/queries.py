@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc, wordtable
+from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc, whitening, wordtable
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -80,10 +81,19 @@ def bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordtable.digests(docs, public_tokenizers.path(TOKENIZER), Workspace(spark, "words"))
 
 
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null where a deviation exceeds a long."""
+    importable(spark)
+    vectors = tables(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, Workspace(spark, "whitening"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
     "op11_bpe_words": bpe_words,
+    "op12_embedding_whitening": embedding_whitening,
     "op2_warc_archive": warc_archive,
     "op3_minhash_near_dedup": minhash_near_dedup,
     "op4_quality_rules": quality_rules,
