@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthmill.llm import embeddings, html, minhash, mixing, packing, quality, suffix, tokens, urls, warc, whitening, wordtable
+from monthmill.llm import (
+    embeddings, html, minhash, mining, mixing, packing, quality, suffix, tokens, urls, warc, whitening, wordtable,
+)
 from monthmill.llm.common import importable, tables
 from monthmill.workspace import Workspace
 
@@ -89,11 +91,23 @@ def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
 
 
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of every seventh vector move on by one, which plants negatives close to their anchors."""
+    importable(spark)
+    entries = F.col("embedding").cast("array<double>")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = tables(spark, sf_dir, "embeddings").filter(whitening.finite(entries)).select(
+        "vec_id", moved.alias("label"), F.transform(entries, lambda c: F.floor(F.lit(256.0) * c)).alias("x")
+    )
+    return mining.mine(vectors, Workspace(spark, "mining"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": best_fit_packing,
     "op10_embedding_near_dedup": embedding_near_dedup,
     "op11_bpe_words": bpe_words,
     "op12_embedding_whitening": embedding_whitening,
+    "op13_hard_negatives": hard_negatives,
     "op2_warc_archive": warc_archive,
     "op3_minhash_near_dedup": minhash_near_dedup,
     "op4_quality_rules": quality_rules,

@@ -89,7 +89,27 @@ select vec_id, cast(coalesce(n.n, 0) as bigint) as n_links, component_id, vec_id
 from c left join n using (vec_id)
 """
 
+_NEGATIVES = """
+with e as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda c: floor(256 * cast(c as double))) as x
+           from embeddings
+           where label is not null and len(embedding) > 0
+             and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+     s as (select a.vec_id as anchor_id, e.vec_id, a.label = e.label as same,
+                  cast(list_inner_product(a.x, e.x) as bigint) as score
+           from e as a join e on a.vec_id <> e.vec_id where a.vec_id % 100 = 0),
+     p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+           qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+     n as (select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+                  row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as place
+           from p join s using (anchor_id)
+           where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score)
+select anchor_id, positive_id, cast(place as integer) as "rank", negative_id, positive_score, negative_score
+from n where place <= 10
+"""
+
 SQL: dict[str, str] = {
+    "op13_hard_negatives": _NEGATIVES,
     "op2_warc_archive": _WARC,
     "op3_minhash_near_dedup": _NEAR,
     "op4_quality_rules": _QUALITY,
