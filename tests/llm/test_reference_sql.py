@@ -18,7 +18,8 @@ def test_query_equals_sql(spark, name):
 
 @pytest.mark.parametrize("name", [name for name in QUERIES if name not in SQL])
 def test_other_queries_have_all_rows(spark, name):
-    table = "pages" if name.startswith("op8") else "documents"
+    table, key = {"op8": ("pages", "page_id"), "op12": ("embeddings", "vec_id")}.get(
+        name.split("_")[0], ("documents", "doc_id")
+    )
     rows = QUERIES[name](spark, SMALL)
-    key = "page_id" if table == "pages" else "doc_id"
     assert rows.select(key).distinct().count() == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
