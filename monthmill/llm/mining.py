@@ -16,7 +16,8 @@ window of its own for the negatives.
 Scale: codebooks, radii and the number of rows per cell (the square of the codebook at most) are all that is
 sent to every task. Cells with more than ``BLOCK_ROWS`` rows are cut into blocks, and the
 anchors that visit a block come in groups, so what meets in a task is bounded however full a cell
-is or however many anchors visit it. Every block sends a group the few best rows per window only.
+is or however many anchors visit it. Every block sends the few best rows per window only, and in later waves
+only such as reach the last of the rows found so far.
 Vectors without structure have wide radii: most cells are then visited, which costs time but
 loses nothing.
 
@@ -250,14 +251,15 @@ def search(
         merged = hits.unionByName(best).withColumn("place", F.row_number().over(ranked)).filter(F.col("place") <= wanted)
         best = space.write(merged.drop("place"), f"best-{wave}")
         last = best.groupBy("anchor", "k").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last"))
+        # where enough rows are found, only such as reach the last of them are still wanted
+        full = F.coalesce(F.col("n") >= wanted, F.lit(False))
+        raised = F.when(full, F.greatest("low", F.col("last") * 100)).otherwise(F.col("low"))
         open_windows = (
             plan.filter(F.col("next_bound").isNotNull())
             .select("row", "next_bound", F.inline("windows"))
             .join(last.withColumnRenamed("anchor", "row"), ["row", "k"], "left")
-            .filter(
-                (F.lit(100.0) * F.col("next_bound") >= F.col("low"))
-                & ~F.coalesce((F.col("n") >= wanted) & (F.col("next_bound") < F.col("last")), F.lit(False))
-            )
+            .withColumn("low", raised)
+            .filter(F.lit(100.0) * F.col("next_bound") >= F.col("low"))
             .groupBy("row")
             .agg(F.collect_list(F.struct("k", "low", "high")).alias("windows"))
         )
