@@ -1,10 +1,14 @@
-"""Exact quantiles of many columns without sorting or shuffling the values.
+"""Exact quantiles of many columns without sorting or shuffling the values, and mergeable sketches.
 
-Each pass is one aggregate of fixed size. The first sketches the columns, which brackets
-each quantile between two values. The next ones count exactly what lies below, at and
-between the ends of a bracket, and look between them: with a finer sketch while many values
-are left there, by gathering them once their number is known to be small. Up to some ten
-million rows that makes two passes, and one or two more per factor of ten beyond.
+Each pass is one aggregate of fixed size in two levels: every scan task sends one row of small states,
+those of the tasks that share a salt are merged first, and only then are the merged states of a
+column brought together, each column in a place of its own. No task takes a state from every task.
+
+The first pass sketches the columns, which brackets each quantile between two values. The next ones
+count exactly what lies below, at and between the ends of a bracket, and look between them: with
+another sketch while many values are left there, by gathering them once their number is known to
+be small. Up to some six million rows that makes two passes, and one more per factor of 300 beyond.
+A sketch errs with some probability only; a bracket that misses its quantile is left again.
 """
 
 from __future__ import annotations
@@ -14,26 +18,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from monthmill.staging import is_scan, settled
+from monthmill.staging import settled
 
-ACCURACY = 10_000
-GRID = 64
+#: Size of the sketches. With 8000 the rank error is below 0.0005 with 99 % and 0.001 all but surely.
+SKETCH = 8000
+#: What is taken for the rank error of a sketch.
+ERROR = 0.001
+#: Parts into which a sketch divides a bracket that holds many values.
+GRID = 500
 GATHER = 20_000
-# Columns per aggregate. Each aggregate reads its own columns only, so nothing is read twice,
-# and the generated code stays small enough to be compiled.
-BATCH = 8
-
-
-def _measure(df: DataFrame, measures: Mapping[str, Column]) -> dict[str, object]:
-    """One-row aggregates over a table that is cheap to scan, a few columns at a time."""
-    names, row = list(measures), {}
-    for start in range(0, len(names), BATCH):
-        batch = [measures[name].alias(name) for name in names[start : start + BATCH]]
-        row.update(df.agg(*batch).first().asDict())
-    return row
 
 
 @dataclass(frozen=True)
@@ -57,44 +53,100 @@ class _Interval:
             tests.append(f"{self.column} < {_number(self.high)}")
         return f"case when {' and '.join(tests)} then {self.column} end"
 
-    def counts(self) -> list[str]:
-        """Number of values below, at low, inside and at high."""
+    @property
+    def single(self) -> bool:
+        """Both ends alike: only the rank of that value is left to be made sure of."""
+        return self.low is not None and self.low == self.high
+
+    def state(self) -> Column:
+        """What a task knows of the interval: how many values lie below, at low, inside and at high,
+        and those inside as a list if they are few, else as a sketch."""
         value = self.column
+        if self.single:
+            return F.expr(
+                f"named_struct('below', count_if({value} < {_number(self.low)}), "
+                f"'at_low', count_if({value} = {_number(self.low)}))"
+            )
         below = at_low = at_high = "0L"
         if self.low is not None:
             below = f"count_if({value} < {_number(self.low)})"
             at_low = f"count_if({value} = {_number(self.low)})"
         if self.high is not None:
             at_high = f"count_if({value} = {_number(self.high)})"
-        return [below, at_low, f"count({self.inside()})", at_high]
+        sketch, held = f"kll_sketch_agg_double({self.inside()}, {SKETCH})", "cast(null as array<double>)"
+        if self.small:
+            sketch, held = "cast(null as binary)", f"collect_list({self.inside()})"
+        return F.expr(
+            f"named_struct('below', {below}, 'at_low', {at_low}, 'inside', count({self.inside()}), "
+            f"'at_high', {at_high}, 'sketch', {sketch}, 'held', {held})"
+        )
 
-    def sketch(self, points: Sequence[float]) -> Column:
-        # one array literal: a literal per point is slow to analyse
-        return F.percentile_approx(F.expr(self.inside()), F.lit(np.array(points)), ACCURACY)
 
-    def pick(self, rank: int) -> str:
-        """The value of a 0-based rank of the whole column, if it lies inside."""
-        below, at_low, count, _ = self.counts()
-        place = f"({rank + 1}L - {below} - {at_low})"
-        value = f"element_at(sort_array(collect_list({self.inside()})), cast({place} as int))"
-        return f"case when {place} between 1 and {count} then {value} end"
+_NOTHING = Row(below=0, at_low=0, inside=0, at_high=0, cuts=None, held=[])
 
 
 def _number(value: float) -> str:
     return f"double('{value!r}')"
 
 
+COUNTS = ("below", "at_low", "inside", "at_high")
+
+
+def merged_states(df: DataFrame, intervals: Mapping[int, _Interval]) -> DataFrame:
+    """One row per interval, ``n`` and the merged fields: first by salt, then by interval.
+
+    The intervals are all single or none of them is."""
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
+    by_salt = df.groupBy(salt).agg(*[interval.state().alias(f"s{n}") for n, interval in intervals.items()])
+    # a state of its own per row, so that the second level deals intervals out over tasks
+    rows = by_salt.select(
+        F.inline(F.array(*[F.struct(F.lit(n).alias("n"), F.col(f"s{n}").alias("s")) for n in intervals]))
+    )
+    fields = [name for name in COUNTS if name in rows.schema["s"].dataType.names]
+    merged = [F.sum(f"s.{name}").alias(name) for name in fields]
+    if "sketch" in rows.schema["s"].dataType.names:
+        merged += [F.kll_merge_agg_double("s.sketch").alias("sketch"), F.flatten(F.collect_list("s.held")).alias("held")]
+    return rows.groupBy("n").agg(*merged)
+
+
+def quantiles_of(sketch: Column, points: Sequence[float]) -> Column:
+    """Values at the given shares of a merged sketch; null if it saw none."""
+    # one array literal: a literal per point is slow to analyse
+    at = F.lit(np.array(points, dtype=float))
+    return F.when(F.kll_sketch_get_n_double(sketch) > 0, F.kll_sketch_get_quantile_double(sketch, at))
+
+
+def _states(df: DataFrame, intervals: Sequence[_Interval], points: Sequence[float]) -> list:
+    """Counts of each interval, and its sketch at ``points`` or its sorted values."""
+    numbered = dict(enumerate(intervals))
+    known: dict[int, Row] = {}
+    # counts alone are compiled; beside sketches and lists they would be interpreted
+    for single in (True, False):
+        part = {n: interval for n, interval in numbered.items() if interval.single == single}
+        if not part:
+            continue
+        merged = merged_states(df, part)
+        if single:
+            none = {"inside": F.lit(0), "at_high": F.lit(0), "cuts": F.lit(None), "held": F.lit(None)}
+        else:
+            none = {"cuts": quantiles_of(F.col("sketch"), points), "held": F.sort_array("held")}
+        found = merged.withColumns(none).select("n", *COUNTS, "cuts", "held")
+        known |= {row.n: row for row in found.collect()}
+    # a table without rows has no salt either
+    return [known.get(n, _NOTHING) for n in numbered]
+
+
+def _around(p: float) -> tuple[float, float]:
+    """Probabilities that enclose ``p`` given the error of a sketch."""
+    return p - ERROR, p + ERROR
+
+
 def _first_bracket(column: str, count: int, p: float, ends: Mapping[float, float]) -> _Interval:
     if count <= GATHER:
         return _Interval(column, None, None, count)
     low, high = _around(p)
-    bound = math.ceil(count * (high - low + 2 / ACCURACY)) + 2
-    return _Interval(column, ends.get(low), ends.get(high), bound)
-
-
-def _around(p: float) -> tuple[float, float]:
-    """Probabilities that safely enclose ``p`` given the error of a sketch."""
-    return p - 2 / ACCURACY, p + 2 / ACCURACY
+    return _Interval(column, ends.get(low), ends.get(high), math.ceil(count * 4 * ERROR) + 2)
 
 
 def _look(df: DataFrame, targets: Mapping[tuple[str, int], _Interval]) -> tuple[dict, dict]:
@@ -102,42 +154,42 @@ def _look(df: DataFrame, targets: Mapping[tuple[str, int], _Interval]) -> tuple[
     groups: dict[_Interval, list[int]] = {}
     for (_, rank), interval in targets.items():
         groups.setdefault(interval, []).append(rank)
-    grid = np.linspace(0, 1, GRID + 1)
-    measures = {}
-    for n, (interval, ranks) in enumerate(groups.items()):
-        counts = F.expr(f"array({', '.join(interval.counts())})")
-        if interval.small:
-            inner = F.expr(f"array({', '.join(interval.pick(rank) for rank in ranks)})")
-        else:
-            inner = interval.sketch(grid)
-        measures[f"i{n}"] = F.struct(counts.alias("counts"), inner.alias("inner"))
-    row = _measure(df, measures)
+    states = _states(df, list(groups), np.linspace(0, 1, GRID + 1))
 
     found, pending = {}, {}
-    for n, (interval, ranks) in enumerate(groups.items()):
-        (below, at_low, inside, at_high), inner = row[f"i{n}"]
-        before, column = below + at_low, interval.column
-        for k, rank in enumerate(ranks):
+    for (interval, ranks), state in zip(groups.items(), states, strict=True):
+        before, column = state.below + state.at_low, interval.column
+        for rank in ranks:
             target = column, rank
-            if rank < below:  # not in the bracket after all: go on below it
-                pending[target] = _Interval(column, None, interval.low, below)
+            if rank < state.below:  # not in the bracket after all: go on below it
+                pending[target] = _Interval(column, None, interval.low, state.below)
             elif rank < before:
                 found[target] = interval.low
-            elif rank < before + inside:
+            elif rank < before + state.inside:
                 if interval.small:
-                    found[target] = inner[k]
+                    found[target] = state.held[rank - before]
                 else:
-                    place = (rank - before) / inside * GRID
-                    left, right = max(math.floor(place) - 1, 0), min(math.ceil(place) + 1, GRID)
-                    bound = math.ceil(inside * ((right - left) / GRID + 2 / ACCURACY)) + 2
-                    pending[target] = _Interval(column, inner[left], inner[right], bound)
-            elif rank < before + inside + at_high:
+                    place = (rank - before) / state.inside * GRID
+                    wide = max(1, math.ceil(ERROR * GRID))
+                    left, right = max(math.floor(place) - wide, 0), min(math.ceil(place) + wide, GRID)
+                    bound = math.ceil(state.inside * ((right - left) / GRID + 2 * ERROR)) + 2
+                    # the ends of the grid are ends of the bracket, whose own values lie outside of it
+                    low = state.cuts[left] if left else interval.low
+                    high = state.cuts[right] if right < GRID else interval.high
+                    pending[target] = _Interval(column, low, high, min(bound, state.inside))
+            elif rank < before + state.inside + state.at_high:
                 found[target] = interval.high
             else:  # or above it
                 pending[target] = _Interval(column, interval.high, None, 2**62)
     return found, pending
 
 
+def _numbers(columns: Mapping[str, Column]) -> dict[str, Column]:
+    """The columns as doubles under short names, without NaN."""
+    numbers = {f"v{n}": value.cast("double") for n, value in enumerate(columns.values())}
+    return {name: F.when(~F.isnan(v), v) for name, v in numbers.items()}
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Mapping[str, Column],
@@ -150,34 +202,26 @@ def exact_quantiles(
     ``ceil(p * n)``. Values are compared as doubles. A derived table is staged first, with
     the named columns only; a scan is read again in each pass.
     """
+    if not columns:
+        return {}
     short = {name: f"v{n}" for n, name in enumerate(columns)}
-    numbers = {short[name]: value.cast("double") for name, value in columns.items()}
-    named = [F.when(~F.isnan(v), v).alias(name) for name, v in numbers.items()]
-    values = settled(df.select(*named), "quantiles")
-
-    ends = sorted({e for p in probabilities for e in _around(p) if 0 < e < 1})
-    whole = {name: _Interval(name, None, None, 2**62) for name in numbers}
-    sketches = {
-        name: F.struct(F.count(name).alias("count"), interval.sketch(ends or [0.5]).alias("ends"))
-        for name, interval in whole.items()
-    }
-    row = _measure(values, sketches)
+    values = settled(df.select(*[v.alias(name) for name, v in _numbers(columns).items()]), "quantiles")
 
+    ends = sorted({e for p in probabilities for e in _around(p) if 0 < e < 1}) or [0.5]
+    whole = [_Interval(name, None, None, 2**62) for name in short.values()]
     wanted: dict[tuple[str, float], tuple[int, float]] = {}
     targets: dict[tuple[str, int], _Interval] = {}
-    for name in whole:
-        count, values_at_ends = row[name]
+    for interval, state in zip(whole, _states(values, whole, ends), strict=True):
+        name, count = interval.column, state.inside
         for p in probabilities if count else ():
             place = p * (count - 1) if method == "linear" else max(math.ceil(p * count) - 1, 0)
             rank = math.floor(place)
             wanted[name, p] = rank, place - rank
-            bracket = _first_bracket(name, count, p, dict(zip(ends, values_at_ends or [])))
+            bracket = _first_bracket(name, count, p, dict(zip(ends, state.cuts)))
             for needed in (rank, rank + 1) if place > rank else (rank,):
                 targets[name, needed] = bracket
 
-    # both ends alike: the value between them is known already
-    at = {t: i.low for t, i in targets.items() if i.low is not None and i.low == i.high}
-    targets = {t: i for t, i in targets.items() if t not in at}
+    at: dict[tuple[str, int], float] = {}
     while targets:
         found, targets = _look(values, targets)
         at.update(found)
@@ -193,23 +237,13 @@ def exact_quantiles(
 
 
 def approximate_quantiles(
-    df: DataFrame,
-    columns: Mapping[str, Column],
-    probabilities: Sequence[float],
-    error: float = 0.001,
+    df: DataFrame, columns: Mapping[str, Column], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles with a bounded rank error, one sketch per column.
-
-    All columns of a derived table share one aggregate, so that it is computed once.
-    """
-    accuracy, points = math.ceil(1 / error), F.lit(np.array(probabilities, dtype=float))
-    numbers = {f"v{n}": value.cast("double") for n, value in enumerate(columns.values())}
-    sketches = {
-        name: F.percentile_approx(F.when(~F.isnan(v), v), points, accuracy) for name, v in numbers.items()
-    }
-    if is_scan(df):
-        row = _measure(df, sketches)
-    else:
-        row = df.agg(*[s.alias(name) for name, s in sketches.items()]).first().asDict()
+    """Quantiles with a rank error of at most ``ERROR``, one sketch per column, in one pass."""
+    if not columns:
+        return {}
+    short = _numbers(columns)
+    values = df.select(*[v.alias(name) for name, v in short.items()])
+    states = _states(values, [_Interval(name, None, None, 2**62) for name in short], probabilities)
     none = [None] * len(probabilities)
-    return {name: list(row[f"v{n}"] or none) for n, name in enumerate(columns)}
+    return {name: list(state.cuts or none) for name, state in zip(columns, states, strict=True)}

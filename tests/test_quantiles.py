@@ -27,7 +27,8 @@ def effort(request, monkeypatch):
     """The second setting narrows brackets slowly, so that all branches are taken."""
     if request.param == "many passes":
         monkeypatch.setattr(quantiles, "GATHER", 5)
-        monkeypatch.setattr(quantiles, "ACCURACY", 50)
+        monkeypatch.setattr(quantiles, "SKETCH", 20)
+        monkeypatch.setattr(quantiles, "ERROR", 0.02)
         monkeypatch.setattr(quantiles, "GRID", 10)
 
 
@@ -75,3 +76,23 @@ def test_a_bracket_that_misses_is_left_again(spark):
     assert not found
     found, pending = quantiles._look(df, {t: quantiles._Interval("v", i.low, i.high, 101) for t, i in pending.items()})
     assert found == {("v", 10): 10.0, ("v", 90): 90.0}
+
+
+def test_no_task_takes_a_state_from_every_scan_task(spark, tmp_path):
+    folder = str(tmp_path / "t")
+    spark.range(1000).selectExpr("cast(id as double) as v", "cast(id % 7 as double) as w").write.parquet(folder)
+    table = spark.read.parquet(folder)
+    states = [quantiles._Interval("v", None, None, 2**62), quantiles._Interval("w", 1.0, 5.0, 100)]
+    plan = quantiles.merged_states(table, dict(enumerate(states)))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    # by salt, then by interval
+    assert text.count("Exchange") == text.count("Exchange hashpartitioning(") == 2
+    assert text.count("Exchange hashpartitioning(n#") == 1
+
+
+def test_a_sketch_is_within_its_rank_error(spark):
+    data = spark.range(300_000).select(F.abs(F.xxhash64("id") % 1_000_003).cast("double").alias("v"))
+    found = approximate_quantiles(data, {"v": F.col("v")}, [0.01, 0.5, 0.9])["v"]
+    n = data.count()
+    for p, value in zip([0.01, 0.5, 0.9], found, strict=True):
+        assert abs(data.where(F.col("v") <= value).count() / n - p) <= 0.001
