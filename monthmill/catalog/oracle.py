@@ -368,10 +368,14 @@ _WHOLE = {"tenure", "installment_num", "mob", "loan_age_days", "Age", "Credit_Hi
           *[n for n, t in fixed.FINANCIAL_NUMERIC_TYPES.items() if t == "int"]}
 
 
+_IMPUTED = [
+    "tenure", "installment_num", "loan_amt", "due_amt", "mob", "loan_age_days", *CLICKS,
+    *[n for n in _FIN_KEPT if n != "Payment_of_Min_Amount"], "Age", *_RATIOS, "delay_frequency",
+]
+
+
 def _imputed(table: str, mode: str = "asof", fit_where: str = "") -> str:
-    names = ["tenure", "installment_num", "loan_amt", "due_amt", "mob", "loan_age_days", *CLICKS,
-             *[n for n in _FIN_KEPT if n != "Payment_of_Min_Amount"], "Age", *_RATIOS,
-             "delay_frequency"]
+    names = _IMPUTED
     lags = ["financials_lag_days", "attributes_lag_days"] if mode == "asof" else []
     kept = [n for n in _LOAN_COLUMNS if n not in names] + ["Payment_of_Min_Amount", "SSN", "Occupation", *lags]
     filled = [
@@ -625,6 +629,24 @@ select company_size, count(credit_limit_gbp) as count, round_even(avg(credit_lim
        cast(max(credit_limit_gbp) as double) as max
 from metadata group by company_size"""
 
+# every median from a sketch has to lie within its bound
+QUERIES["sketch_medians"] = f"""
+select column_name, n_values, true as within_error
+from (unpivot (select {", ".join(f"count({n}) as {n}" for n in _IMPUTED)} from assembled_asof
+               where snapshot_date <= date '1998-12-31')
+      on columns(*) into name column_name value n_values)"""
+
+QUERIES["month_from_states"] = "select * from assembled_asof where snapshot_date = date '1998-06-01'"
+
+QUERIES["price_by_part_group"] = """
+with v as (select case when l_partkey % 3 = 0 then 'thirds' else 'g' || (l_partkey % 20) end as part_group,
+                  l_extendedprice * (1 - l_discount) as net_price from lineitem)
+select part_group, count(net_price) as count, round_even(avg(net_price), 2) as mean,
+       round_even(stddev_samp(net_price), 2) as std, round_even(min(net_price), 2) as min,
+       round_even(quantile_cont(net_price, 0.25), 2) as q25, round_even(quantile_cont(net_price, 0.5), 2) as q50,
+       round_even(quantile_cont(net_price, 0.75), 2) as q75, round_even(max(net_price), 2) as max
+from v group by part_group"""
+
 _PARTS = {**VIEWS, **LAYERS}
 
 

@@ -11,8 +11,8 @@ from monthmill import fixed_values as fixed
 from monthmill.catalog import views
 from monthmill.functions import cleaning, credit, loans
 from monthmill.functions import retail as retail_expr
-from monthmill.operators import asof, encode, impute, profile
-from monthmill.plans import churn, customer_meta, feature_store, labels, medallion, retail, rfm, silver
+from monthmill.operators import asof, encode, impute, profile, sketches
+from monthmill.plans import churn, customer_meta, feature_store, labels, medallion, monthly, retail, rfm, silver
 from monthmill.sinks import writers
 from monthmill.sources import calendar, readers
 from monthmill.staging import new_folder, stage
@@ -227,6 +227,41 @@ def feature_store_fit_period(spark, sf_dir):
     return _store(spark, sf_dir, fit_period=(None, "1998-12-31"))
 
 
+@register
+def month_from_states(spark, sf_dir):
+    """Features of one month before imputation, from states that were advanced over three snapshots."""
+    folder = new_folder(spark, "mart")
+    financials, loan_rows, clicks, attributes = _inputs(spark, sf_dir)
+    parts = {"loan_daily": loan_rows, "clickstream": clicks, "financials": financials, "attributes": attributes}
+    for name, rows in parts.items():
+        writers.write_layer(rows, f"{folder}/silver/{name}")
+    for day in ("1996-02-01", "1997-09-01", "1998-06-01"):
+        for name in ("financials", "attributes"):
+            monthly.store_state(spark, f"{folder}/silver/{name}", f"{folder}/state/{name}", day)
+    built = monthly.month_features(
+        spark, "1998-06-01", f"{folder}/silver/loan_daily", f"{folder}/silver/clickstream",
+        f"{folder}/state/financials", f"{folder}/state/attributes", credit_mixes=CREDIT_MIXES, loan_types=LOAN_TYPES,
+    )
+    return widened(built)
+
+
+@register
+def sketch_medians(spark, sf_dir):
+    """Medians of the features up to the end of 1998 from stored monthly sketches, and whether each has
+    the rank it should have to 0.1 %."""
+    built = feature_store.build_features(
+        *_inputs(spark, sf_dir), credit_mixes=CREDIT_MIXES, loan_types=LOAN_TYPES
+    )
+    features = stage(built, "features")
+    columns = impute.imputed_columns(features)
+    stored = sketches.store_sketches(features, columns, new_folder(spark, "sketches"))
+    medians = sketches.medians_by_column(stored, None, "1998-12-31")
+    ranks = sketches.rank_errors(readers.in_period(features, None, "1998-12-31"), medians, columns)
+    return ranks.select(
+        "column_name", "n_values", F.coalesce(F.col("rank_error") <= 0.001, F.col("n_values") == 0).alias("within_error")
+    )
+
+
 @register
 def median_impute(spark, sf_dir):
     """Gaps punched into customers and line items, filled with exact medians."""
@@ -718,6 +753,17 @@ def credit_limit_by_size(spark, sf_dir):
     return profile.grouped_summary(_metadata(spark, sf_dir), "company_size", "credit_limit_gbp")
 
 
+@register
+def price_by_part_group(spark, sf_dir):
+    """Summary of a continuous column; a third of all rows is in one group."""
+    part = F.col("l_partkey")
+    group = F.when(part % 3 == 0, F.lit("thirds")).otherwise(F.concat(F.lit("g"), (part % 20).cast("string")))
+    items = views.table(spark, sf_dir, "lineitem").select(
+        group.alias("part_group"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("net_price")
+    )
+    return profile.grouped_summary(items, "part_group", "net_price", 2)
+
+
 @register
 def vip_share(spark, sf_dir):
     return customer_meta.vip_share(_metadata(spark, sf_dir))

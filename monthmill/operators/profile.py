@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthmill.functions.retail import percent
+from monthmill.operators import skew
+from monthmill.operators.ordering import running_totals
 from monthmill.operators.quantiles import exact_quantiles
-from monthmill.staging import settled
+from monthmill.staging import settled, stage
 
 
 def null_profile(df: DataFrame, only_missing: bool = True) -> DataFrame:
@@ -100,17 +102,47 @@ def numeric_summary(
     )
 
 
+def grouped_quantiles(
+    counted: DataFrame, group: str, value: str, weight: str, probabilities: Sequence[float]
+) -> DataFrame:
+    """Interpolated quantiles per group of values that stand for ``weight`` rows each.
+
+    ``counted`` has one row per group and value, neither null. The rows are ordered by group and value over
+    all tasks and their weights added up; the places wanted in a group follow from where its
+    rows begin, and only the rows that cover such a place are brought together. So no task holds
+    the values of a group, and a group with a third of all rows is spread like the others.
+    """
+    ordered = stage(
+        running_totals(counted, [F.col(group), F.col(value)], {"_upto": F.col(weight)}), "group-ranks"
+    )
+    groups = ordered.groupBy(group).agg(
+        F.min(F.col("_upto") - F.col(weight)).alias("_before"), F.sum(weight).alias("_size")
+    )
+    placed = skew.left_joins(ordered, [groups], [group])
+    first, end = F.col("_upto") - F.col(weight) - F.col("_before"), F.col("_upto") - F.col("_before")
+    covers, cuts = F.lit(False), []
+    for p in probabilities:
+        place = F.lit(float(p)) * (F.col("_size") - 1)
+        low, high = F.floor(place), F.ceil(place)
+        at_low, at_high = (first <= low) & (low < end), (first <= high) & (high < end)
+        covers = covers | at_low | at_high
+        start, stop = F.max(F.when(at_low, F.col(value))), F.max(F.when(at_high, F.col(value)))
+        part = F.max(place - low)
+        cuts.append(F.when(part == 0, start).otherwise(start + (stop - start) * part))
+    return placed.where(covers).groupBy(group).agg(F.array(*cuts).alias("q"))
+
+
 def grouped_summary(df: DataFrame, group: str, value: str, places: int = 0) -> DataFrame:
     """The same summary of one column for each value of a category column.
 
-    Values are counted before the quartiles are taken, so what meets in a group are its
-    different values, however many rows it has.
+    Values are counted before the quartiles are taken, so many equal rows cost no more than one.
     """
-    rows = df.select(group, F.col(value).cast("double").alias("_value")).dropna(subset=[group])
+    rows = df.select(F.col(group), F.col(value).cast("double").alias("_value")).dropna(subset=[group])
+    rows = settled(rows, "grouped")
     moments = rows.groupBy(group).agg(_moments(F.col("_value"), places).alias("m"))
     seen = rows.where(F.col("_value").isNotNull() & ~F.isnan("_value"))
     counted = seen.groupBy(group, "_value").agg(F.count(F.lit(1)).alias("_rows"))
-    quartiles = counted.groupBy(group).agg(F.percentile("_value", [0.25, 0.5, 0.75], F.col("_rows")).alias("q"))
+    quartiles = grouped_quantiles(counted, group, "_value", "_rows", [0.25, 0.5, 0.75])
     found = moments.join(quartiles, group, "left")
     cuts = [F.bround(F.get("q", k), places).alias(name) for k, name in enumerate(("q25", "q50", "q75"))]
     return found.select(

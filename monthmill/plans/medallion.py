@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from monthmill import fixed_values as fixed
+from monthmill.operators import sketches
 from monthmill.plans import silver
 from monthmill.plans.feature_store import feature_store
 from monthmill.plans.labels import default_labels
@@ -118,8 +119,12 @@ def store_features(
     features: str,
     **options,
 ) -> DataFrame:
-    """All silver layers to the feature store, which is replaced as a whole."""
+    """All silver layers to the feature store, which is replaced as a whole.
+
+    Unless medians are exact, the sketches they come from are kept beside it (``stored_medians``)."""
     with staging_scope(spark):
+        if not options.get("exact_medians"):
+            options.setdefault("sketch_root", sketch_root(features))
         table = feature_store(
             readers.read_layer(spark, silver_financials),
             readers.read_layer(spark, silver_loans),
@@ -131,6 +136,15 @@ def store_features(
     return readers.read_layer(spark, features)
 
 
+def sketch_root(features: str) -> str:
+    return f"{features}_sketches"
+
+
+def stored_medians(spark: SparkSession, features: str, start: Day = None, end: Day = None) -> DataFrame:
+    """The medians before imputation of any period of a stored feature table, from its sketches alone."""
+    return sketches.merged_medians(readers.read_layer(spark, sketch_root(features)), start, end)
+
+
 def run_pipeline(
     spark: SparkSession,
     data: str,
