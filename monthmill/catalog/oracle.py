@@ -636,6 +636,29 @@ from (unpivot (select {", ".join(f"count({n}) as {n}" for n in _IMPUTED)} from a
                where snapshot_date <= date '1998-12-31')
       on columns(*) into name column_name value n_values)"""
 
+QUERIES["feature_store_discovered"] = QUERIES["feature_store_asof"]
+
+
+def _audited(layer: str, name: str, table: str, where: str = "true", matched: tuple[str, str] | None = None) -> str:
+    counts = [f"count({c})" for c in matched] if matched else ["cast(null as bigint)"] * 2
+    return f"""select '{layer}' as layer, '{name}' as table_name, cast(snapshot_date as date) as snapshot_date,
+       count(*) as row_count, {counts[0]} as financials_matched, {counts[1]} as attributes_matched
+from {table} where {where} group by all"""
+
+
+QUERIES["pipeline_audit"] = "\nunion all\n".join([
+    _audited("bronze", "loan_daily", "loan_daily"),
+    _audited("bronze", "financials", "financials_raw", "snapshot_date <> ''"),
+    _audited("bronze", "attributes", "attributes_raw", "snapshot_date <> ''"),
+    _audited("bronze", "clickstream", "clickstream_raw", "snapshot_date <> ''"),
+    _audited("silver", "loan_daily", "loans"),
+    _audited("silver", "financials", "fin", "snapshot_date is not null"),
+    _audited("silver", "attributes", "attr", "snapshot_date is not null"),
+    _audited("silver", "clickstream", "clicks", "snapshot_date is not null"),
+    _audited("gold", "label_store", "loans", "mob = 6"),
+    _audited("gold", "feature_store", "assembled_asof", matched=("financials_lag_days", "attributes_lag_days")),
+])
+
 QUERIES["month_from_states"] = "select * from assembled_asof where snapshot_date = date '1998-06-01'"
 
 QUERIES["price_by_part_group"] = """

@@ -169,8 +169,7 @@ def asof_match_rate(spark, sf_dir):
         asof.Feature("financials", _financials(spark, sf_dir)),
         asof.Feature("attributes", _attributes(spark, sf_dir)),
     ]
-    joined = asof.with_records(_loans(spark, sf_dir), features)
-    return asof.match_rate(joined, ["financials", "attributes"])
+    return asof.match_rate(_loans(spark, sf_dir), features)
 
 
 # --- feature store -------------------------------------------------------------------
@@ -211,6 +210,12 @@ def feature_store_asof(spark, sf_dir):
     return _store(spark, sf_dir)
 
 
+@register
+def feature_store_discovered(spark, sf_dir):
+    """With the categories that the data hold instead of given ones."""
+    return widened(feature_store.feature_store(*_inputs(spark, sf_dir), exact_medians=True))
+
+
 @register
 def feature_store_exact(spark, sf_dir):
     return _store(spark, sf_dir, mode="exact")
@@ -386,6 +391,16 @@ def pipeline_features(spark, sf_dir):
     return widened(features)
 
 
+@register
+def pipeline_audit(spark, sf_dir):
+    """What a run says about its layers: rows per table and snapshot, and how many features matched."""
+    folder = new_folder(spark, "mart")
+    medallion.run_pipeline(
+        spark, _sources(spark, sf_dir), folder, None, None, credit_mixes=CREDIT_MIXES, loan_types=LOAN_TYPES
+    )
+    return spark.read.parquet(f"{folder}/audit")
+
+
 @register
 def raw_layer(spark, sf_dir):
     """Raw attribute file to bronze and back, every value as text."""

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.staging import settled
+from monthmill.staging import settled, stage
 
 ROWS = "_rows"
 PIECES = "_pieces"
@@ -36,6 +36,9 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 class Split:
     """How often each key of a left table is split, from its row counts per key.
 
+    The counts are staged, so every later use reads them instead of counting again. Where no key
+    and no lack of a key is that frequent, rows are joined as they are, without pieces.
+
     Pieces go by row position, which also deals out exact copies of a row. The left table is
     therefore settled first: a repeated task must find its rows in the same order.
     """
@@ -44,10 +47,21 @@ class Split:
         self.left = settled(left)
         self.keys = list(keys)
         self.share = share or 1 / int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        self.counts = counts = count_keys(self.left, keys)
-        self.fair = F.greatest(F.lit(1.0), counts.agg(F.sum(ROWS) * self.share).scalar())
-        self.hot = counts.where(F.col(ROWS) > self.fair).select(
-            *keys, self.pieces(F.col(ROWS)).alias(PIECES)
+        every = stage(self.left.groupBy(*self.keys).agg(F.count(F.lit(1)).alias(ROWS)), "key-counts")
+        self.counts = keyed(every, self.keys)
+        keyless = F.lit(False)
+        for key in self.keys:
+            keyless = keyless | F.col(key).isNull()
+        self.keyless = keyless
+        rows = F.when(~keyless, F.col(ROWS))
+        seen = every.agg(
+            F.sum(rows).alias("keyed"), F.max(rows).alias("largest"), F.sum(F.when(keyless, F.col(ROWS))).alias("keyless")
+        ).first()
+        self.fair = max(1.0, (seen.keyed or 0) * self.share)
+        #: Whether rows have to be dealt out at all.
+        self.uneven = max(seen.largest or 0, seen.keyless or 0) > self.fair
+        self.hot = self.counts.where(F.col(ROWS) > self.fair).select(
+            *self.keys, self.pieces(F.col(ROWS)).alias(PIECES)
         )
 
     def pieces(self, rows: Column) -> Column:
@@ -56,11 +70,10 @@ class Split:
 
     def spread(self) -> DataFrame:
         """Deal the left rows of a hot key out over its pieces, rows without a key over many."""
-        keyless = F.lit(False)
-        for key in self.keys:
-            keyless = keyless | F.col(key).isNull()
+        if not self.uneven:
+            return self.left
         known = F.coalesce(F.col(PIECES), F.lit(1))
-        pieces = F.when(keyless, F.lit(int(1 / self.share))).otherwise(known)
+        pieces = F.when(self.keyless, F.lit(int(1 / self.share))).otherwise(known)
         return (
             self.left.join(F.broadcast(self.hot), self.keys, "left")
             .withColumn(PIECE, F.pmod(F.monotonically_increasing_id(), pieces).cast("int"))
@@ -69,15 +82,20 @@ class Split:
 
     def repeat(self, right: DataFrame) -> DataFrame:
         """One copy of the right rows per piece of their key."""
+        if not self.uneven:
+            return right
         found = right.join(F.broadcast(self.hot), self.keys, "left")
         return self.copies(found, F.coalesce(F.col(PIECES), F.lit(1))).drop(PIECES)
 
     def copies(self, right: DataFrame, pieces: Column) -> DataFrame:
+        if not self.uneven:
+            return right
         return right.withColumn(PIECE, F.explode(F.sequence(F.lit(0), pieces - 1)))
 
     def join(self, spread: DataFrame, repeated: DataFrame) -> DataFrame:
         """Left join on key and piece. Both sides grow with the data, so neither is broadcast."""
-        return spread.join(repeated.hint("merge"), [*self.keys, PIECE], "left")
+        on = [*self.keys, PIECE] if self.uneven else self.keys
+        return spread.join(repeated.hint("merge"), on, "left")
 
 
 def left_joins(

@@ -99,7 +99,7 @@ def test_nulls_inside_the_latest_record_are_not_filled_from_older_ones(frame):
 
 def test_match_rate(random_tables):
     loans, rows, left, feature = random_tables
-    found = asof.match_rate(asof.asof_join(left, asof.Feature("f", feature)), ["f"]).first()
+    found = asof.match_rate(left, [asof.Feature("f", feature)]).first()
     matched = sum(v is not None for v, _ in expected(loans, rows).values())
     assert (found.total_rows, found.f_matched) == (len(loans), matched)
 
@@ -123,6 +123,17 @@ def test_hot_keys_are_cut_into_pieces_of_a_fair_share(frame):
     assert split.repeat(frame("k string", ("hot",), ("k1",))).count() == 7
 
 
+def test_even_keys_are_joined_without_pieces(frame):
+    left = frame("k string, n int", *[(f"k{n % 40}", n) for n in range(400)])
+    split = skew.Split(left, ["k"], share=1 / 10)
+    assert not split.uneven and split.spread() is split.left
+    assert split.repeat(left) is left and split.join(left, left.select("k").distinct()).count() == 400
+    # many rows without a key are dealt out as well
+    gaps = frame("k string, n int", *[(None if n % 2 else f"k{n % 40}", n) for n in range(400)])
+    split = skew.Split(gaps, ["k"], share=1 / 10)
+    assert split.uneven and split.spread().where("k is null").select("_piece").distinct().count() > 3
+
+
 def test_copies_of_one_row_are_dealt_out(spark):
     left = spark.range(1000).select(F.lit("x").alias("k"), F.lit(1).alias("v")).repartition(4)
     split = skew.Split(left, ["k"], share=1 / 10)

@@ -36,11 +36,23 @@ def test_left_rows_of_the_asof_join_move_once(spark, tmp_path):
     clicks = views.clickstream_raw(spark, SF).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
     fin = views.financials_raw(spark, SF).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
     plan = plan_of(asof.with_records(left, [asof.Feature("f", fin)], exact=[clicks]))
-    by_pair = re.findall(r"Exchange hashpartitioning\(Customer_ID#\d+, snapshot_date#\d+, _piece#\d+", plan)
-    assert len(by_pair) == 3  # loans, clicks, resolved features: one each
+    by_pair = re.findall(r"Exchange hashpartitioning\(Customer_ID#\d+, snapshot_date#\d+, \d+\)", plan)
+    # loans, clicks and resolved features once each, and the records of the features where they are chosen;
+    # as no pair is frequent there are no pieces, no list of hot pairs and no second count
+    assert len(by_pair) == 4 and "_piece" not in plan and "Broadcast" not in plan
     assert plan.count("SortMergeJoin") == 2
 
 
+def test_frequent_pairs_are_joined_in_pieces(spark, tmp_path):
+    left = loans(spark, str(tmp_path / "loans"))
+    left = left.withColumn("Customer_ID", F.when(F.rand(3) < 0.5, F.lit("CUS_1")).otherwise(F.col("Customer_ID")))
+    left = left.withColumn("snapshot_date", F.when(F.col("Customer_ID") == "CUS_1", F.lit("1997-01-01").cast("date")).otherwise(F.col("snapshot_date")))
+    fin = views.financials_raw(spark, SF).withColumn("snapshot_date", F.col("snapshot_date").cast("date"))
+    plan = plan_of(asof.with_records(left, [asof.Feature("f", fin)]))
+    by_pair = re.findall(r"Exchange hashpartitioning\(Customer_ID#\d+, snapshot_date#\d+, _piece#\d+", plan)
+    assert len(by_pair) == 2
+
+
 def test_collapsing_limits_groups_before_the_shuffle(spark, tmp_path):
     left = loans(spark, str(tmp_path / "loans"))
     plan = plan_of(asof.one_row_per_pair(left, "loan_id"))
