@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from monthmill.operators import asof, sketches
 from monthmill.operators.impute import fill_missing
 from monthmill.plans.feature_store import build_features
-from monthmill.sources import readers
+from monthmill.sinks import writers
+from monthmill.sources import journal, readers
 from monthmill.sources.readers import SNAPSHOT
 
 AS_OF = "as_of"
@@ -46,20 +47,22 @@ def advance(
     return latest.select(*[found.get(c, F.col(f"record.`{c}`").alias(c)) for c in rows.columns])
 
 
+def _states(spark: SparkSession, root: str) -> DataFrame:
+    return journal.current(spark, root, AS_OF, lambda folders, options: spark.read.options(**options).parquet(*folders))
+
+
 def last_state(spark: SparkSession, root: str, before: str | date) -> str | None:
     """The last day before ``before`` that has a stored state."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    if not journal.Layer(spark, root, AS_OF).has_months():
         return None
     # folder names alone: no column of the states is read
     day = F.col(AS_OF).cast("string")
-    found = spark.read.parquet(root).where(day < str(before)).agg(F.max(day)).first()[0]
-    return found
+    return _states(spark, root).where(day < str(before)).agg(F.max(day)).first()[0]
 
 
 def read_state(spark: SparkSession, root: str, day: str | date) -> DataFrame:
     """The state of a stored day."""
-    return spark.read.parquet(root).where(F.col(AS_OF) == F.lit(str(day)).cast("date")).drop(AS_OF)
+    return _states(spark, root).where(F.col(AS_OF) == F.lit(str(day)).cast("date")).drop(AS_OF)
 
 
 def store_state(spark: SparkSession, layer: str, root: str, day: str | date) -> DataFrame:
@@ -72,7 +75,7 @@ def store_state(spark: SparkSession, layer: str, root: str, day: str | date) ->
     previous = None if since is None else read_state(spark, root, since)
     state = advance(rows, day, previous, since)
     dated = state.withColumn(AS_OF, F.lit(str(day)).cast("date"))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(AS_OF).parquet(root)
+    writers.swap_in(dated, root, AS_OF, start=day, end=day)
     return read_state(spark, root, day)
 
 
@@ -116,5 +119,5 @@ def refresh_month(
     )
     stored = readers.read_layer(spark, f"{store}_sketches")
     filled = fill_missing(built, sketches.medians_by_column(stored, *fit_period))
-    filled.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(SNAPSHOT).parquet(store)
+    writers.write_layer(filled, store, start=day, end=day)
     return readers.read_layer(spark, store, day)

@@ -1,12 +1,18 @@
-"""Layer writers. A run replaces the months of its period, whatever they held before."""
+"""Layer writers. A run replaces the months of its period, whatever they held before.
+
+The new months are written to a side folder first. A journal then names them and the months that go;
+from that moment the layer is the new one: readers (``sources.journal``) look into the side folder for months
+that are not in place yet, and the next run completes moves that a lost driver left open. Without a
+journal a side folder is what a lost run left, and the layer is the old one.
+"""
 
 from __future__ import annotations
 
 from datetime import date
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from monthmill.sources import journal
 from monthmill.sources.calendar import has_snapshot
 from monthmill.sources.readers import QUOTES, SNAPSHOT
 
@@ -16,9 +22,9 @@ CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpa
 Day = str | date | None
 
 
-def by_snapshot(df: DataFrame) -> DataFrame:
+def by_snapshot(df: DataFrame, column: str = SNAPSHOT) -> DataFrame:
     """Few files per month: AQE merges small months and splits large ones at the advisory size."""
-    return df.hint("rebalance", SNAPSHOT)
+    return df.hint("rebalance", column)
 
 
 def write_layer(
@@ -26,46 +32,35 @@ def write_layer(
 ) -> None:
     """Write by snapshot date; stored months from ``start`` to ``end`` that ``df`` does not have go.
 
-    ``df`` holds rows of that period only. Months outside of it are not touched. A month was
-    written if its files are others than before, as each write names its files anew.
+    ``df`` holds rows of that period only, and may be read from the layer itself. Months outside of the
+    period are not touched.
     """
-    before = stored_months(df.sparkSession, root, start, end)
-    writer = (
-        by_snapshot(has_snapshot(df))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAPSHOT)
-        .format(file_format)
-    )
-    if file_format == "csv":
-        writer = writer.options(**CSV)
-    writer.save(root)
-    after = stored_months(df.sparkSession, root, start, end)
-    for folder, (path, files) in before.items():
-        if folder in after and after[folder][1] == files:
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def stored_months(spark: SparkSession, root: str, start: Day, end: Day) -> dict[str, tuple]:
-    """The month folders of a layer within a period, with their path and file names."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        return {}
-    mark, found = f"{SNAPSHOT}=", {}
-    for status in system.listStatus(path):
-        name = status.getPath().getName()
-        month = unquote(name.removeprefix(mark))
-        inside = (start is None or month >= str(start)) and (end is None or month <= str(end))
-        if name.startswith(mark) and inside:
-            files = {file.getPath().getName() for file in system.listStatus(status.getPath())}
-            found[name] = status.getPath(), files
-    return found
+    swap_in(has_snapshot(df), root, SNAPSHOT, file_format, start, end)
 
 
 def replace_layer(df: DataFrame, root: str) -> None:
     """Write by snapshot date and replace the whole data set."""
-    by_snapshot(df).write.mode("overwrite").partitionBy(SNAPSHOT).parquet(root)
+    swap_in(df, root)
+
+
+def swap_in(
+    df: DataFrame,
+    root: str,
+    column: str = SNAPSHOT,
+    file_format: str = "parquet",
+    start: Day = None,
+    end: Day = None,
+) -> None:
+    """Replace the partitions of a period by those of ``df`` in one step. A layer has one writer at a time."""
+    layer = journal.Layer(df.sparkSession, root, column)
+    layer.complete()
+    side = layer.new_side()
+    writer = by_snapshot(df, column).write.partitionBy(column).format(file_format)
+    if file_format == "csv":
+        writer = writer.options(**CSV)
+    writer.save(side)
+    layer.publish(side, start, end)
+    layer.complete()
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from monthmill.functions.cleaning import cast_text
-from monthmill.sources import schemas
+from monthmill.sources import journal, schemas
 
 SNAPSHOT = "snapshot_date"
 Day = str | date | None
@@ -22,7 +22,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=False, **QUOTES)
 
 
-def read_typed_csv(spark: SparkSession, path: str, types: dict[str, str], **options) -> DataFrame:
+def read_typed_csv(spark: SparkSession, path: str | list[str], types: dict[str, str], **options) -> DataFrame:
     """CSV with header: the listed columns cast by name, further columns left as text.
 
     Fields that do not parse become null. The types are given, so there is no inference pass.
@@ -40,15 +40,25 @@ def read_layer(
 ) -> DataFrame:
     """A layer stored by snapshot date; with ``day`` only that partition is listed and read.
 
-    With a schema, a layer of which no month is left is an empty table.
+    With a schema, a layer of which no month is left is an empty table. Months that a lost run left
+    half replaced are read as they are to be.
     """
-    layer = (spark.read.schema(schema) if schema else spark.read).parquet(root)
+
+    def read(folders: list[str], options: dict[str, str]) -> DataFrame:
+        reader = spark.read.schema(schema) if schema else spark.read
+        return reader.options(**options).parquet(*folders)
+
+    layer = journal.current(spark, root, SNAPSHOT, read)
     return layer if day is None else on_day(layer, day)
 
 
 def read_bronze_loans(spark: SparkSession, root: str, day: str | date | None = None) -> DataFrame:
     """The loan layer, which is kept as CSV."""
-    layer = read_typed_csv(spark, root, schemas.RAW_LOAN_TYPES)
+
+    def read(folders: list[str], options: dict[str, str]) -> DataFrame:
+        return read_typed_csv(spark, folders, schemas.RAW_LOAN_TYPES, **options)
+
+    layer = journal.current(spark, root, SNAPSHOT, read)
     return layer if day is None else on_day(layer, day)
 
 
