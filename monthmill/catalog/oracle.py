@@ -670,6 +670,18 @@ select part_group, count(net_price) as count, round_even(avg(net_price), 2) as m
        round_even(quantile_cont(net_price, 0.75), 2) as q75, round_even(max(net_price), 2) as max
 from v group by part_group"""
 
+_PER_PERIOD = """select '{level}' as level, {period} as period, '{name}' as column_name,
+       count(distinct {name}) as distinct_count from retail_tx group by all having count({name}) > 0"""
+QUERIES["distinct_by_period"] = "\nunion all\n".join(
+    _PER_PERIOD.format(level=level, period=period, name=name)
+    for level, period in (
+        ("month", "cast(date_trunc('month', InvoiceDate) as date)"),
+        ("quarter", "cast(date_trunc('quarter', InvoiceDate) as date)"),
+        ("whole", "cast(null as date)"),
+    )
+    for name in ("CustomerID", "StockCode", "Country", "InvoiceNo")
+)
+
 _PARTS = {**VIEWS, **LAYERS}
 
 

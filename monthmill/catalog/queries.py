@@ -11,7 +11,7 @@ from monthmill import fixed_values as fixed
 from monthmill.catalog import views
 from monthmill.functions import cleaning, credit, loans
 from monthmill.functions import retail as retail_expr
-from monthmill.operators import asof, encode, impute, profile, sketches
+from monthmill.operators import asof, bitmaps, encode, impute, profile, sketches
 from monthmill.plans import churn, customer_meta, feature_store, labels, medallion, monthly, retail, rfm, silver
 from monthmill.sinks import writers
 from monthmill.sources import calendar, readers
@@ -468,6 +468,24 @@ def column_cardinality(spark, sf_dir):
     return profile.distinct_counts(_tx(spark, sf_dir, *names), names)
 
 
+@register
+def distinct_by_period(spark, sf_dir):
+    """Distinct customers, products, countries and invoices per month, quarter and in all, from the
+    same stored bitmaps. The store is filled in two runs, the second of which repeats months of the first."""
+    names = ["CustomerID", "StockCode", "Country", "InvoiceNo"]
+    lines = stage(_tx(spark, sf_dir, *names, "InvoiceDate"), "lines")
+    store = bitmaps.BitmapStore(spark, new_folder(spark, "bitmaps"))
+    day = F.col("InvoiceDate").cast("date")
+    store.store(lines.where(day < "1998-01-01"), day, names, None, "1997-12-01")
+    store.store(lines.where(day >= "1997-06-01"), day, names, "1997-06-01", None)
+    month = F.col(bitmaps.PERIOD)
+    return (
+        store.counts(month, "month")
+        .unionByName(store.counts(F.trunc(month, "quarter"), "quarter"))
+        .unionByName(store.counts())
+    )
+
+
 @register
 def numeric_summary(spark, sf_dir):
     names = ("Quantity", "UnitPrice", "CustomerID")

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthmill.functions.retail import percent
-from monthmill.operators import skew
+from monthmill.operators import bitmaps, skew
 from monthmill.operators.ordering import running_totals
 from monthmill.operators.quantiles import exact_quantiles
 from monthmill.staging import settled, stage
@@ -35,13 +34,7 @@ def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = F
     if approximate:
         row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in columns])
         return row.unpivot([], list(columns), "column_name", "distinct_count")
-    # values meet on the map side, one column at a time; several distinct counts in one
-    # aggregate would first write every row once per column
-    counts = [
-        df.groupBy(c).count().agg(F.lit(c).alias("column_name"), F.count(F.col(c)).alias("distinct_count"))
-        for c in columns
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    return bitmaps.distinct_counts(df, columns)
 
 
 def date_range(df: DataFrame, column: str) -> DataFrame:
