@@ -117,6 +117,16 @@ def parse(html: str, mark: str | None = None) -> list[Node]:
         parts.clear()
         counts[:] = [0, 0]
 
+    # where each tag stands in the stack, so that no tag is looked for element by element
+    places: dict[str, list[int]] = {}
+
+    def last(tags) -> int:
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+
+    def push(tag: str, node: int) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node))
+
     def close(index: int) -> None:
         nonlocal silent, links
         gone = stack[index:]
@@ -125,23 +135,17 @@ def parse(html: str, mark: str | None = None) -> list[Node]:
             flush()
         silent -= sum(tag in SILENT_TAGS for tag, _ in gone)
         links -= sum(tag == "a" for tag, _ in gone)
+        for tag, _ in gone:
+            places[tag].pop()
         del stack[index:]
 
     def close_open(kinds: set[str], borders: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in kinds:
-                close(k)
-                return
-            if stack[k][0] in borders:
-                return
+        at = last(kinds)
+        if at and at >= last(borders):
+            close(at)
 
     def leave_head() -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == "head":
-                close(k)
-                return
-            if stack[k][0] in SILENT_TAGS:
-                return
+        close_open({"head"}, SILENT_TAGS)
 
     at = 0
     while at < len(html):
@@ -167,10 +171,8 @@ def parse(html: str, mark: str | None = None) -> list[Node]:
         if silent and (tag in HEAD_ENDS if ends else tag not in HEAD_TAGS):
             leave_head()
         if ends:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
+            if places.get(tag):
+                close(places[tag][-1])
             continue
         attributes = found[3] or found[6] or ""
         if tag == "br":
@@ -193,7 +195,7 @@ def parse(html: str, mark: str | None = None) -> list[Node]:
                 value = next((v for v in values if v), "")
                 known = {FAMILY[word] for word in WORD.findall(value.lower()) if word in FAMILY}
                 nodes[node].features += [f"family={family}" for family in sorted(known)]
-        stack.append((tag, node))
+        push(tag, node)
         silent += tag in SILENT_TAGS
         links += tag == "a"
         if tag in RAW_TAGS:

@@ -4,7 +4,7 @@ A rule is a host and a path. It fits the host and all its subdomains if the URL'
 with the rule's path; of the rules that fit, the longest wins (host and path together, then the
 host alone, then ``block`` before ``allow``). Every distinct URL is expanded into the
 expressions that a rule could have: each suffix of its host at a dot, with each prefix of its path
-that ends with a slash. Rules are filed under their host and their path up to its last slash.
+that ends with a slash, up to the most labels and slashes that a rule has. Rules are filed under their host and their path up to its last slash.
 Both sides meet in an equi-join on a short hash prefix; the full digest of the expression, and
 the rest of the rule's path, then confirm the match.
 
@@ -15,7 +15,8 @@ most ``BROADCAST_RULES`` rows; beyond that the distinct expressions are joined w
 
 Edge cases: a null URL, or one without ``://``, has an empty host and path and fits no rule of a
 host; repeated rows keep their rows; no rule fits: the default verdict; an empty page or rule
-table works; extra columns are carried through, helper columns are named ``_u_...``.
+table works; extra columns are carried through whatever their names, except for those that the result
+itself has (``host``, ``path``, ``rule``, ``verdict``); very long hosts and paths cost their length.
 """
 
 from __future__ import annotations
@@ -57,24 +58,25 @@ def after_scheme(url: Column) -> Column:
     return F.when(at > 0, F.substring(text, at + 3, F.length(text))).otherwise(F.lit(""))
 
 
-def host_suffixes(host: Column) -> Column:
-    """``a.b.c``, ``b.c`` and ``c``."""
+def host_suffixes(host: Column, most: Column) -> Column:
+    """``a.b.c``, ``b.c`` and ``c``, of ``most`` labels at most."""
     labels = F.split(host, r"\.")
     return F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.sequence(F.greatest(F.lit(1), F.size(labels) - most + 1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
 
 
-def path_prefixes(path: Column) -> Column:
-    """The empty prefix and every prefix that ends with a slash."""
+def path_prefixes(path: Column, most: Column) -> Column:
+    """The empty prefix and every prefix that ends with a slash, with ``most`` slashes at most."""
     parts = F.split(path, "/")
+    slashes = F.least(F.size(parts) - 1, most)
     return F.concat(
         F.array(F.lit("")),
         F.when(
-            F.size(parts) > 1,
+            slashes > 0,
             F.transform(
-                F.sequence(F.lit(1), F.size(parts) - 1),
+                F.sequence(F.lit(1), slashes),
                 lambda i: F.concat(F.array_join(F.slice(parts, F.lit(1), i), "/"), F.lit("/")),
             ),
         ).otherwise(F.array().cast("array<string>")),
@@ -97,6 +99,7 @@ def filed(rules: DataFrame) -> DataFrame:
     return one.filter(F.col("host").isNotNull()).select(
         digest(host, directory).alias("_u_digest"),
         host.alias("_u_rule_host"), path.alias("_u_rule_path"), F.col("verdict").alias("_u_verdict"),
+        F.size(F.split(host, r"\.")).alias("_u_labels"), (F.size(F.split(directory, "/")) - 1).alias("_u_slashes"),
     ).withColumn("_u_short", F.substring("_u_digest", 1, 8))
 
 
@@ -109,20 +112,27 @@ def judge(
     broadcast_rules: int = BROADCAST_RULES,
 ) -> DataFrame:
     """The pages with ``host``, ``path``, ``rule`` (null if none fits) and ``verdict``."""
-    names = [name for name in pages.columns if name not in ("host", "path", "rule", "verdict")]
+    own = ("host", "path", "rule", "verdict")
+    names = [f"`{name}`" for name in pages.columns if name.lower() not in own]
+    address = F.col(f"`{url}`")
+    # the page's columns travel as one, so none of them can meet a helper of the same name
     rows = space.write(
-        pages.select(*names, host_of(F.col(url)).alias("_u_host"), path_of(F.col(url)).alias("_u_path")),
+        pages.select(F.struct(*names).alias("_u_page"), host_of(address).alias("_u_host"), path_of(address).alias("_u_path")),
         "url-rows",
     )
     distinct = rows.groupBy("_u_host", "_u_path").agg(F.count(F.lit(1)).alias("_u_rows"))
     distinct = space.write(distinct, "url-distinct")
+    table = filed(rules)
+    # no rule has more labels or slashes, so longer expressions of a URL cannot meet one
+    depth = table.agg(F.max("_u_labels"), F.max("_u_slashes")).first()
+    labels, slashes = (F.lit(n or 0) for n in depth)
+    table = table.drop("_u_labels", "_u_slashes")
     expressions = distinct.select(
-        "_u_host", "_u_path", F.explode(host_suffixes(F.col("_u_host"))).alias("_u_suffix")
+        "_u_host", "_u_path", F.explode(host_suffixes(F.col("_u_host"), labels)).alias("_u_suffix")
     ).select(
         "_u_host", "_u_path",
-        F.explode(F.transform(path_prefixes(F.col("_u_path")), lambda p: digest(F.col("_u_suffix"), p))).alias("_u_digest"),
+        F.explode(F.transform(path_prefixes(F.col("_u_path"), slashes), lambda p: digest(F.col("_u_suffix"), p))).alias("_u_digest"),
     ).withColumn("_u_short", F.substring("_u_digest", 1, 8))
-    table = filed(rules)
     if table.limit(broadcast_rules + 1).count() <= broadcast_rules:
         matches = expressions.join(F.broadcast(table), ["_u_short", "_u_digest"])
     else:
@@ -151,7 +161,7 @@ def judge(
     total = distinct.agg(F.sum("_u_rows")).first()[0] or 0
     out = spread_lookup(rows, decided, ["_u_host", "_u_path"], "_u_rows", total)
     return out.select(
-        *names, F.col("_u_host").alias("host"), F.col("_u_path").alias("path"),
+        "_u_page.*", F.col("_u_host").alias("host"), F.col("_u_path").alias("path"),
         F.col("_u_best")["rule"].alias("rule"),
         F.coalesce(F.col("_u_best")["verdict"], F.lit(default)).alias("verdict"),
     )

@@ -2,6 +2,7 @@ import html as escapes
 import itertools
 import math
 import re
+import time
 from random import Random
 
 import pytest
@@ -124,3 +125,20 @@ def test_table(spark, given, model):
     found = html.training_pages(pages, 20)
     assert len(found) == 20 and found == html.training_pages(pages.repartition(3), 20)
     assert html.train([]) is html.PRIOR and html.train(["<p>no label</p>"]) is html.PRIOR
+
+
+@pytest.mark.parametrize("page", [
+    "<i>" * 200_000 + "</x>" * 200_000,
+    "<p><table>" + "<i>" * 100_000 + "<div>" * 100_000,
+    "<li>" + "<i>" * 100_000 + "<li>" * 100_000,
+    "<head>" + "<title>x" + "</title></b>" * 100_000,
+])
+def test_a_page_costs_its_length(page):
+    started = time.process_time()
+    html.parse(page)
+    assert time.process_time() - started < 8
+
+
+def test_end_tags_close_the_innermost_of_their_kind():
+    blocks = [n.text for n in html.parse("<div><p>a<b>b</x></b><div>c</p>d</div>e</div></div>f") if n.text]
+    assert blocks == ["ab", "cd", "e", "f"]

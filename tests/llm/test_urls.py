@@ -1,4 +1,7 @@
 import re
+import time
+
+import pytest
 
 from monthmill.llm import urls
 
@@ -49,3 +52,29 @@ def test_empty_tables(spark, space):
     some = spark.createDataFrame([(1, "http://a.com/")], "page_id bigint, url string")
     none = spark.createDataFrame([], "verdict string, host string, path string")
     assert rows(urls.judge(some, none, space)) == {1: ("a.com", "/", None, "allow")}
+
+
+def test_columns_of_any_name_are_carried(spark, space):
+    names = ["_piece", "_turn", "_pieces", "_u_rows", "_u_host", "_u_best", "_u_page", "a.b", "_s_mark"]
+    schema = "page_id bigint, url string, HOST string, " + ", ".join(f"`{n}` int" for n in names)
+    pages = spark.createDataFrame([(1, "http://a.net/es/", "h", *range(9)), (2, None, None, *[None] * 9)], schema)
+    for limit in (urls.BROADCAST_RULES, 0):
+        found = urls.judge(pages, urls.rule_table(spark), space, broadcast_rules=limit)
+        assert found.columns == ["page_id", "url", *names, "host", "path", "rule", "verdict"]
+        got = {r.page_id: r for r in found.collect()}
+        assert [got[1][n] for n in names] == list(range(9)) and got[1].rule == "net/es/" and got[2].host == ""
+
+
+@pytest.mark.parametrize("limit", [urls.BROADCAST_RULES, 0])
+def test_long_urls_cost_their_length(spark, space, limit):
+    long = ["http://" + "a." * 100_000 + "net/es/" + "b/" * 100_000, "http://www.example.com/en/" + "/" * 200_000]
+    pages = spark.createDataFrame(list(enumerate(long)), "page_id bigint, url string")
+    warm = spark.createDataFrame([(0, "http://a.net/es/")], "page_id bigint, url string")
+    took = []
+    for table in (warm, pages):
+        started = time.time()
+        found = urls.judge(table, urls.rule_table(spark), space, broadcast_rules=limit)
+        rules = {r.page_id: r.rule for r in found.select("page_id", "rule").collect()}
+        took.append(time.time() - started)
+    assert rules == {0: "net/es/", 1: "www.example.com/en/"}
+    assert took[1] < took[0] + 5
