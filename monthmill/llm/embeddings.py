@@ -105,7 +105,7 @@ def principal_axes(classes: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
 class Layout:
     """Blocks of axes with their squared-distance budgets and grids."""
 
-    def __init__(self, variances: np.ndarray, rows: int, cosine: float):
+    def __init__(self, variances: np.ndarray, rows: int, cosine: float, cell_rows: int = CELL_ROWS):
         whole = 2 - 2 * cosine
         self.blocks: list[tuple[slice, float, float, int]] = []
         total = variances.sum()
@@ -122,7 +122,7 @@ class Layout:
             budget = whole * (share / scale if total else 1.0) * (1 + SLACK) + SLACK
             radius = math.sqrt(budget)
             grid, cells = 0, 1.0
-            while grid < part.stop - part.start and rows / cells > CELL_ROWS:
+            while grid < part.stop - part.start and rows / cells > cell_rows:
                 spread = 4 * math.sqrt(max(variances[part.start + grid], 0.0))
                 if spread < 4 * radius:
                     break  # fewer than two cells on this axis: it would copy rows and part nothing
@@ -231,7 +231,7 @@ def near_duplicates(
         return rows.select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"),
                            F.lit(True).alias("kept"))
     axes, variances = principal_axes(classes, width)
-    layout = Layout(variances, n, cosine)
+    layout = Layout(variances, n, cosine, cell_rows)
 
     def route(frames):
         for frame in frames:
@@ -245,8 +245,11 @@ def near_duplicates(
                         "embedding": piece["embedding"].to_numpy()[found],
                     })
 
-    shape = "block int, cell binary, home boolean, key bigint, amount bigint, embedding array<float>"
-    routed = classes.select("key", "amount", F.col("embedding").cast("array<float>")).mapInPandas(route, shape)
+    # single precision stays as narrow as it is; anything else is compared as doubles
+    given = classes.schema["embedding"].dataType.simpleString()
+    kind = given if given == "array<float>" else "array<double>"
+    shape = f"block int, cell binary, home boolean, key bigint, amount bigint, embedding {kind}"
+    routed = classes.select("key", "amount", F.col("embedding").cast(kind)).mapInPandas(route, shape)
     routed = space.write(routed, "vector-cells")
     counts = routed.groupBy("block", "cell").agg(
         F.count(F.lit(1)).alias("present"), F.sum(F.col("home").cast("int")).alias("homes")
