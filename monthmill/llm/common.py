@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,6 +49,17 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def with_plain_names(
+    docs: DataFrame, used: Sequence[str], work: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``work`` on ``docs``, whose columns other than ``used`` bear names meanwhile that need no quoting and
+    are no helper's. The result has the old names again."""
+    plain = {name: f"carried_{k}" for k, name in enumerate(docs.columns) if name not in used}
+    old = {new: name for name, new in plain.items()}
+    found = work(docs.select(*[F.col(f"`{name}`").alias(plain.get(name, name)) for name in docs.columns]))
+    return found.select(*[F.col(f"`{name}`").alias(old.get(name, name)) for name in found.columns])
+
+
 def shuffle_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import spread_lookup
+from monthmill.llm.common import spread_lookup, with_plain_names
 from monthmill.llm.components import components
 from monthmill.workspace import Workspace
 
@@ -425,7 +425,11 @@ def near_duplicates(docs: DataFrame, space: Workspace, percent: int) -> DataFram
 
 def one_of_each(docs: DataFrame, space: Workspace, percent: int = 80) -> DataFrame:
     """The documents that stand for their group, and those with empty sets, once each and with
-    all their columns."""
+    all their columns, whatever the names of those."""
+    return with_plain_names(docs, ("doc_id", "text"), lambda plain: _one_of_each(plain, space, percent))
+
+
+def _one_of_each(docs: DataFrame, space: Workspace, percent: int) -> DataFrame:
     found = grouped(docs, space, percent)
     keep = found.filter("keeper is null or keeper = mark").select(F.col("mark").alias("_s_mark")).distinct()
     keep = space.write(keep, "minhash-kept")

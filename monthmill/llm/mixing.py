@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import spread_lookup, word_count
+from monthmill.llm.common import spread_lookup, with_plain_names, word_count
 from monthmill.operators.ordering import global_rank
 from monthmill.workspace import Workspace
 
@@ -304,6 +304,13 @@ def mixed_documents(
     seed: int = 7,
 ) -> DataFrame:
     """The mix itself: the columns of ``docs``, each document as often as it is taken."""
+    used = (text, source, key)
+    return with_plain_names(docs, used, lambda plain: _mixed_documents(plain, space, text, source, key, seed))
+
+
+def _mixed_documents(
+    docs: DataFrame, space: Workspace, text: str, source: str, key: str, seed: int
+) -> DataFrame:
     names = list(docs.columns)
     taken = decide(docs, space, names, text, source, key, seed).filter(F.col("_m_taken") > 0)
     copy = F.explode(F.sequence(F.lit(1), F.col("_m_taken").cast("int"))).alias("_m_copy")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthmill.llm.common import word_array
+from monthmill.llm.common import with_plain_names, word_array
 
 SYMBOLS = "[#*$%&|<>]"
 SAMPLE_ROWS = 500
@@ -133,7 +133,11 @@ def cascade(rules: Sequence[Rule]) -> Column:
 
 
 def keep_good(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The documents that no rule rejects, with their columns as they are."""
+    """The documents that no rule rejects, with their columns as they are, whatever the names of those."""
+    return with_plain_names(docs, (text,), lambda plain: _keep_good(plain, text, sample_rows))
+
+
+def _keep_good(docs: DataFrame, text: str, sample_rows: int) -> DataFrame:
     ready = prepared(docs, text)
     measured = features()
     sample = ready.select(*HELPERS).limit(sample_rows).cache()
