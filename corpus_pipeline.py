@@ -37,7 +37,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     cleaned = suffix.without_repeats(docs, Workspace(spark, "pipeline-suffix"))
     names = cleaned.columns
     rest = cleaned.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return rest.withColumn("n_chars", F.length("text").cast("bigint")).select(names)
+    return rest.withColumn("n_chars", F.length("text").cast("bigint")).select(*[f"`{name}`" for name in names])
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
