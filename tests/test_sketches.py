@@ -60,6 +60,23 @@ def test_rank_errors_see_a_wrong_median(spark, layer):
     assert found["v"] == pytest.approx(0.5, abs=0.01) and found["few"] > 0.1
 
 
+def test_both_passes_hand_python_one_array_a_row(spark, layer):
+    names = ["v", "few", "never"]
+    for found in (sketches.monthly_sketches(layer, names), sketches.rank_errors(layer, {"v": 1.0}, names)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"MapInArrow \w+\((?:snapshot_date#\d+, )?values#\d+\)", plan)) == 1
+
+
+def test_rank_errors_of_gaps_infinities_and_no_rows(spark):
+    inf = float("inf")
+    rows = spark.createDataFrame([(1.0, None), (2.0, 5), (float("nan"), 5), (inf, 7), (-inf, 9), (None, None)], "a double, b int")
+    found = {r.column_name: (r.n_values, r.rank_error) for r in sketches.rank_errors(rows, {"a": 2.0, "b": 9.0}, ["a", "b"]).collect()}
+    # of -inf, 1, 2, inf the value 2 has rank 3; of 5, 5, 7, 9 the value 9 has rank 4
+    assert found == {"a": (4, 0.25), "b": (4, 0.5)}
+    empty = sketches.rank_errors(rows.where("a > 5 and a < 4"), {"a": 2.0}, ["a", "b"]).collect()
+    assert sorted(map(tuple, empty)) == [("a", 0, None), ("b", 0, None)]
+
+
 def test_grouped_quantiles_of_a_hot_continuous_group(spark):
     dice = random.Random(1)
     rows = [(None if k % 50 == 0 else "hot" if k % 3 == 0 else f"g{k % 9}", dice.choice([dice.random() * 1e6, float(k % 4), None]))
