@@ -11,7 +11,8 @@ page_id is the response and the others are revisits of it; smaller payloads are
 responses. A revisit's record has no payload bytes, as usual, but its headers name the digest.
 
 Scale: payloads are compressed where they are read. They are shuffled once to be stored, by
-digest, and only one row per digest and task leaves the map side; and once to be read back. All
+digest, and only one row per digest and task leaves the map side; and once to be written as WARC files. Their
+lengths and digests are taken where they are read back, so the index moves no payload. All
 other joins are on digests and small rows; digests with
 very many pages are split (``spread_lookup``).
 
@@ -88,18 +89,34 @@ def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"sha256": batch.column("sha256"), "payload": pa.array(bodies, pa.binary())})
 
 
-def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with their payload as it was; fails if it lost its digest."""
+def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stored payloads with the length and SHA-1 of what they hold; fails if one lost its digest."""
     restore = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        bodies = []
-        for key, body in zip(batch.column("sha256").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-            body = restore(body)
+        sizes, digests = [], []
+        for key, body in zip(batch.column("sha256").to_pylist(), batch.column("payload"), strict=True):
+            body = restore(body.as_buffer())
             if hashlib.sha256(body).hexdigest() != key:
                 raise ValueError(f"payload does not have its digest {key}")
-            bodies.append(body)
-        at = batch.schema.get_field_index("payload")
-        yield batch.set_column(at, "payload", pa.array(bodies, pa.binary()))
+            sizes.append(len(body))
+            digests.append(hashlib.sha1(body).hexdigest())
+        yield pa.record_batch({
+            "sha256": batch.column("sha256"), "payload": batch.column("payload"),
+            "payload_bytes": pa.array(sizes, pa.int64()), "payload_digest": pa.array(digests, pa.string()),
+        })
+
+
+CHECKED = "sha256 string, payload binary, payload_bytes bigint, payload_digest string"
+
+
+def unpacked(payload: Column) -> Column:
+    """Payloads as they were. An expression, so whoever needs no payload has none moved."""
+
+    def restored(packed: pa.Array) -> pa.Array:
+        restore = zstandard.ZstdDecompressor().decompress
+        return pa.array([restore(body.as_buffer()) for body in packed], pa.binary())
+
+    return F.arrow_udf(restored, "binary")(payload)
 
 
 def write_archive(pages: DataFrame, folder: str, space: Workspace, warc_files: bool = False) -> None:
@@ -120,6 +137,8 @@ def write_archive(pages: DataFrame, folder: str, space: Workspace, warc_files: b
     again = (F.col("bytes") >= REVISIT_BYTES) & ~F.col("page_id").eqNullSafe(F.col("holder"))
     kind = F.when(again, F.lit("revisit")).otherwise(F.lit("response"))
     rows.select("page_id", "sha256", header_block(kind).alias("header")).write.parquet(f"{folder}/headers")
+    space.drop(digests, holders)
+    free_shuffles(pages.sparkSession)
 
     bodies = read.select(F.sha2("payload", 256).alias("sha256"), "payload")
     once = bodies.mapInArrow(packed, bodies.schema).repartition("sha256")
@@ -142,17 +161,21 @@ def header_field(header: Column, name: str) -> Column:
 
 def read_archive(spark: SparkSession, folder: str, space: Workspace) -> DataFrame:
     """The original records: ``page_id``, ``header``, ``payload`` (full, also of revisits) and
-    ``record`` (the exact bytes). Fails if a payload lost its digest or length."""
+    ``record`` (the exact bytes), with ``payload_bytes`` and ``payload_digest`` (SHA-1) of the full payload.
+    Fails if a payload is missing or lost its digest or length.
+
+    Payloads are verified where they are read. They are moved compressed, and only if the payload or the record is used."""
     headers = spark.read.parquet(f"{folder}/headers")
-    payloads = spark.read.parquet(f"{folder}/payloads")
+    payloads = spark.read.parquet(f"{folder}/payloads").mapInArrow(checked, CHECKED)
     uses = headers.groupBy("sha256").agg(F.count(F.lit(1)).alias("uses"))
     total = headers.count()
     rows = spread_lookup(headers, payloads, ["sha256"], "uses", total, counts=uses)
-    rows = rows.select("page_id", "sha256", "header", "payload")
-    rows = rows.mapInArrow(unpacked, rows.schema)
+    missing = F.raise_error(F.concat(F.lit("no payload with the digest "), F.col("sha256")))
+    size = F.coalesce("payload_bytes", missing.cast("bigint")).alias("payload_bytes")
+    rows = rows.select("page_id", "header", unpacked(F.col("payload")).alias("payload"), size, "payload_digest")
     body = F.when(header_field(F.col("header"), "WARC-Type") == "revisit", F.lit(b"")).otherwise(F.col("payload"))
     record = F.concat(F.encode(F.concat("header", F.lit(CRLF * 2)), "UTF-8"), body, F.lit((CRLF * 2).encode()))
-    return rows.select("page_id", "header", "payload", record.alias("record"))
+    return rows.select("page_id", "header", "payload", record.alias("record"), "payload_bytes", "payload_digest")
 
 
 def record_index(records: DataFrame) -> DataFrame:
@@ -161,8 +184,8 @@ def record_index(records: DataFrame) -> DataFrame:
     page = F.nullif(header_field(header, "X-Page-ID"), F.lit("null")).cast("bigint")
     return records.select(
         page.alias("page_id"),
-        F.octet_length("payload").cast("bigint").alias("payload_bytes"),
-        F.sha1("payload").alias("payload_digest"),
+        "payload_bytes",
+        "payload_digest",
         header_field(header, "WARC-Type").alias("record_type"),
         header_field(header, "X-Refers-To-Page-ID").cast("bigint").alias("refers_to"),
     )

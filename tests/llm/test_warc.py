@@ -72,3 +72,26 @@ def test_damaged_payload_is_noticed(spark, space):
         "overwrite").parquet(f"{folder}/payloads")
     with pytest.raises(Exception, match="digest"):
         warc.read_archive(spark, folder, space).collect()
+
+
+def test_the_index_moves_no_payload(spark, space):
+    rows = [(k, f"http://a/{k}", f"<p>{k % 7}</p>" + "x" * 1200, "") for k in range(40)]
+    folder = space.path("archive")
+    warc.write_archive(pages_of(spark, *rows), folder, space)
+    found = warc.record_index(warc.read_archive(spark, folder, space))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # where payloads are verified, only what is said of them goes on
+    assert re.search(r"Project \[sha256#\d+, payload_bytes#\d+L, payload_digest#\d+\]\n(?:\W+Filter .*\n)?\W+MapInArrow checked", plan), plan
+    assert "restored" not in plan
+    for row in found.collect():
+        body = rows[row.page_id][2].encode()
+        assert (row.payload_bytes, row.payload_digest) == (len(body), hashlib.sha1(body).hexdigest())
+
+
+def test_missing_payload_is_noticed(spark, space):
+    folder = space.path("archive")
+    warc.write_archive(pages_of(spark, (1, "u", "body", ""), (2, "u", "other", "")), folder, space)
+    stored = spark.read.parquet(f"{folder}/payloads").collect()
+    spark.createDataFrame(stored[:1], "sha256 string, payload binary").write.mode("overwrite").parquet(f"{folder}/payloads")
+    with pytest.raises(Exception, match="no payload with the digest"):
+        warc.record_index(warc.read_archive(spark, folder, space)).collect()
