@@ -17,19 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Rows of a table per task where each of them becomes many.
-ROWS_PER_TASK = 100_000
+#: Rows that a task makes where each row of a table becomes many.
+ROWS_PER_TASK = 500_000
 
 
-def spread(df: DataFrame, key: str, grows: bool = False) -> DataFrame:
+def spread(df: DataFrame, key: str, grows: int = 0) -> DataFrame:
     """Deal out the rows of a table whose file cannot be read by all cores at once.
 
     The test tables are single small files; tables with enough splits stay as they are. Where each row
-    becomes many (``grows``), there are as many tasks as bound the rows of one.
+    becomes ``grows`` rows, there are as many tasks as bound the rows that one makes.
     """
     tasks = df.sparkSession.sparkContext.defaultParallelism
     if grows:
-        tasks = max(tasks, -(-df.count() // ROWS_PER_TASK))
+        tasks = max(tasks, -(-df.count() * grows // ROWS_PER_TASK))
     return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks, key)
 
 
@@ -99,7 +99,7 @@ def loan_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
     )
     return (
-        spread(orders, "o_orderkey", grows=True)
+        spread(orders, "o_orderkey", grows=7)
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(6))))
         .select(
             F.concat(F.lit("L"), _text(k)).alias("loan_id"),
@@ -128,7 +128,7 @@ def _customer_months(spark: SparkSession, sf_dir: str, months: int, a: int, b: i
     day = F.add_months(F.lit("1995-01-01").cast("date"), month.cast("int"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     steps = F.explode(F.sequence(F.lit(0), F.lit(months - 1)))
-    return spread(customers, "c_custkey", grows=True).withColumn("j", steps).withColumn("snapshot_date", _text(day))
+    return spread(customers, "c_custkey", grows=months).withColumn("j", steps).withColumn("snapshot_date", _text(day))
 
 
 def financials_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,14 +208,16 @@ def attributes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clickstream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """87 monthly click snapshots of every customer, all text; a tenth of them without a key."""
     c, m = F.col("c_custkey"), F.col("m")
-    day = F.add_months(F.lit("1995-01-01").cast("date"), m)
+    first = F.lit("1995-01-01").cast("date")
+    # the text of a month is made once, not in every row
+    months = F.array(*[F.struct(F.lit(i).alias("m"), _text(F.add_months(first, i)).alias("day")) for i in range(87)])
     customers = table(spark, sf_dir, "customer").select("c_custkey")
     return (
-        spread(customers, "c_custkey", grows=True)
-        .withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(86))))
+        spread(customers, "c_custkey", grows=87)
+        .select("c_custkey", F.inline(months))
         .select(
             F.when(c % 10 != 9, F.concat(F.lit("CUS_"), _text(c))).alias("Customer_ID"),
-            _text(day).alias("snapshot_date"),
+            F.col("day").alias("snapshot_date"),
             *[_text((c * i + m * 7) % 200 - 1).alias(f"fe_{i}") for i in range(1, 21)],
         )
     )

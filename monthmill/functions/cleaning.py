@@ -12,7 +12,9 @@ def lenient_int(value: Column, to: str = "int") -> Column:
     """Text to whole number: ``3.7`` is 3, ``.7`` is 0, other text and overflow are null."""
     bare_fraction = value.rlike(r"^\s*[+-]?\.\d*\s*$")
     whole = F.regexp_replace(F.trim(value), r"\.\d*$", "")
-    return F.when(bare_fraction, F.lit(0).cast(to)).otherwise(whole.try_cast(to))
+    cut = F.when(bare_fraction, F.lit(0).cast(to)).otherwise(whole.try_cast(to))
+    # no pattern is tried on the many texts without a point, which none of them can match
+    return F.when(value.contains("."), cut).otherwise(F.trim(value).try_cast(to))
 
 
 def cast_text(value: Column, to: str) -> Column:
@@ -21,7 +23,7 @@ def cast_text(value: Column, to: str) -> Column:
 
 
 def strip_trailing_underscores(value: Column) -> Column:
-    return F.regexp_replace(value, "_+$", "")
+    return F.when(value.contains("_"), F.regexp_replace(value, "_+$", "")).otherwise(value)
 
 
 def dirty_number(value: Column, to: str) -> Column:

@@ -22,6 +22,21 @@ def test_dirty_number_strips_trailing_underscores_only(frame, column):
     assert found == [52312.68, 12.0, None, None, None, None, None, None, None, None]
 
 
+def test_patterns_are_tried_only_on_texts_that_can_match(frame, column):
+    values = [
+        "5_", "5_\n", "_5_\n_", "__", "_", "5", " 5 ", "5.", ".", " . ", ".5\n", "\t.5", "5.7_", "5.\n", "5.7\n", "-.", "1.2.3",
+        "5\n", "5\r\n", "\u00a05", "x.", "", None,
+    ]
+    df = texts(frame, *values)
+    v = F.col("v")
+    assert column(df, cleaning.strip_trailing_underscores(v)) == column(df, F.regexp_replace(v, "_+$", ""))
+    whole = F.regexp_replace(F.trim(v), r"\.\d*$", "").try_cast("int")
+    fraction = v.rlike(r"^\s*[+-]?\.\d*\s*$")
+    assert column(df, cleaning.lenient_int(v)) == column(df, F.when(fraction, 0).otherwise(whole))
+    plan = df.select(cleaning.dirty_number(v, "int"))._jdf.queryExecution().analyzed().toString().lower()
+    assert "contains(v" in plan and plan.index("contains(v") < plan.index("regexp_replace(v")
+
+
 def test_bad_casts_do_not_raise_under_ansi(spark, frame, column):
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
     assert column(texts(frame, "x"), cleaning.cast_text(F.col("v"), "date")) == [None]

@@ -77,3 +77,18 @@ def test_silver_comes_from_bronze_without_a_shuffle(spark, tmp_path, monkeypatch
     monkeypatch.setattr(writers, "by_snapshot", lambda *a: asked.append(a) or by_snapshot(*a))
     clean = medallion.refine_silver(spark, "attributes", str(tmp_path / "b"), str(tmp_path / "c"))
     assert not asked and [row.Age for row in clean.collect()] == [None]
+
+
+def test_tasks_are_as_many_as_the_rows_made_ask_for(spark, tmp_path, monkeypatch):
+    spark.range(1000).withColumnRenamed("id", "k").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(views, "ROWS_PER_TASK", 50)
+    assert views.spread(table, "k", grows=3).rdd.getNumPartitions() == 60
+
+
+def test_the_text_of_a_month_is_not_made_in_every_row(spark, tmp_path):
+    spark.range(1, 3).withColumnRenamed("id", "c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    clicks = views.clickstream_raw(spark, str(tmp_path))
+    assert "add_months" not in clicks._jdf.queryExecution().optimizedPlan().toString()
+    months = [f"{1995 + m // 12}-{m % 12 + 1:02}-01" for m in range(87)]
+    assert sorted(row[0] for row in clicks.where("Customer_ID = 'CUS_2'").select("snapshot_date").collect()) == months
