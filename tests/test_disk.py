@@ -2,12 +2,15 @@
 
 import time
 from collections import Counter
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
 from monthmill.catalog import queries
 from monthmill.plans import feature_store
+from monthmill.sinks import writers
+from monthmill.sources import readers
 from monthmill.staging import CLEAN, shuffles_removed, stage, staging_scope
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +102,26 @@ def test_blocks_hold_whole_snapshots(spark, layers, monkeypatch):
                 with pytest.raises(Exception, match="PATH_NOT_FOUND"):
                     staged.rows(number - 1)
         assert number >= 3 and len(days) == len(set(days)) and None in days and rows == whole
+
+
+def test_a_layer_written_in_parts_is_the_whole(spark, frame, tmp_path):
+    root, schema = str(tmp_path / "layer"), "snapshot_date date, v int"
+    writers.replace_layer(frame(schema, (date(2022, 1, 1), 9)), root)
+
+    def parts(seen):
+        yield frame(schema, (date(2023, 1, 1), 1), (None, 0))
+        seen.append(sorted(row.v for row in readers.read_layer(spark, root).collect()))
+        yield frame(schema)
+        yield frame(schema, (date(2023, 2, 1), 2), (date(2023, 3, 1), 3))
+
+    seen, before = [], shuffle_files(spark)
+    writers.replace_in_parts(parts(seen), spark, root)
+    assert seen == [[9]] and sorted(row.v for row in readers.read_layer(spark, root).collect()) == [0, 1, 2, 3]
+    assert not left_behind(spark, before)
+
+
+def test_text_layers_can_be_packed(spark, frame, tmp_path):
+    loans = frame("snapshot_date string, loan_id string, v int", ("2023-01-01", " L1", 1), ("2023-02-01", None, 2))
+    writers.write_layer(loans, str(tmp_path), "csv", compression="gzip")
+    assert len(list(tmp_path.glob("snapshot_date=*/*.csv.gz"))) == 2
+    assert sorted(str(row.loan_id) for row in readers.read_raw_csv(spark, str(tmp_path)).collect()) == [" L1", "None"]
