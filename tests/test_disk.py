@@ -125,3 +125,9 @@ def test_text_layers_can_be_packed(spark, frame, tmp_path):
     writers.write_layer(loans, str(tmp_path), "csv", compression="gzip")
     assert len(list(tmp_path.glob("snapshot_date=*/*.csv.gz"))) == 2
     assert sorted(str(row.loan_id) for row in readers.read_raw_csv(spark, str(tmp_path)).collect()) == [" L1", "None"]
+
+
+def test_sketches_take_the_staged_parts(spark, monkeypatch):
+    joined = counted_parts(monkeypatch, 5000)
+    found = queries.QUERIES["sketch_medians"](spark, SF).collect()
+    assert len(joined) > 1 and len(found) == 57 and all(row.within_error for row in found)
